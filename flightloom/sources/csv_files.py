@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Quotes are doubled, blanks are kept, and NULL differs from the empty text.
+# Quotes are doubled and blanks kept. NULL is an empty field, the empty text a quoted one.
 _FORMAT = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
@@ -21,9 +19,13 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
     """Each task writes its own files, with the column names as header.
 
     Texts may hold line breaks, so a file cannot be split when read; the row
-    bound per file keeps reading parallel.
+    bound per file keeps reading parallel. One column alone is refused: its NULL
+    would be a blank line, which CSV readers skip.
     """
-    df.write.options(**_FORMAT).option("maxRecordsPerFile", rows_per_file).csv(path)
+    if len(df.columns) < 2:
+        raise ValueError("a CSV of one column cannot hold NULL rows")
+    writer = df.write.options(**_FORMAT).option("nullValue", "").option("emptyValue", '""')
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -33,7 +35,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """
     return (
         spark.read.schema(schema)
-        .options(**{**_FORMAT, "emptyValue": ""})
+        .options(**_FORMAT)
+        # What the parser calls an empty field; no text, so that "" is not taken for it.
+        .option("nullValue", "\x00")
+        .option("emptyValue", "")
         .option("multiLine", "true")
         .option("enforceSchema", "false")
         .csv(path)
