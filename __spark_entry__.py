@@ -23,12 +23,12 @@ from flightloom.operators import (
     reject_non_numeric,
     rekey,
     select_columns,
-    spread_small,
 )
 from flightloom.plans import (
     filter_and_route,
     flight_max_offset,
     land_batch,
+    land_csv,
     publish_flight_max,
     round_trip,
 )
@@ -37,6 +37,7 @@ from flightloom.schemas import LANDED, METADATA, RESULT, SAMPLES, WORD
 from flightloom.session import shared_path
 from flightloom.sources import (
     FileTopics,
+    create_table,
     inline_rows,
     read_csv,
     save_table,
@@ -58,14 +59,14 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- inputs ---------------------------------------------------------------------
 
 
-def _samples(spark: SparkSession, folder: str) -> DataFrame:
+def _samples(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """The samples through the catalog, as a job gets them."""
-    testbed.samples(spark, folder).createOrReplaceTempView("flight_samples")
+    testbed.samples(spark, folder, spread).createOrReplaceTempView("flight_samples")
     return scan(spark, "flight_samples")
 
 
-def _metadata(spark: SparkSession, folder: str) -> DataFrame:
-    testbed.metadata(spark, folder).createOrReplaceTempView("flight_metadata")
+def _metadata(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    testbed.metadata(spark, folder, spread).createOrReplaceTempView("flight_metadata")
     return scan(spark, "flight_metadata")
 
 
@@ -145,11 +146,11 @@ def _preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _encode_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return encode(spread_small(_samples(spark, folder)), "unique_id")
+    return encode(_samples(spark, folder, spread=True), "unique_id")
 
 
 def _encode_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    return encode(_metadata(spark, folder), "unique_id")
+    return encode(_metadata(spark, folder, spread=True), "unique_id")
 
 
 def _decode_samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -219,17 +220,17 @@ def _flight_max_offset_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _topic_roundtrip_samples(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spread_small(_samples(spark, folder))
+    rows = _samples(spark, folder, spread=True)
     return round_trip(rows, _topics(spark), "samples", SAMPLES).drop("timestamp")
 
 
 def _topic_roundtrip_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _metadata(spark, folder)
+    rows = _metadata(spark, folder, spread=True)
     return round_trip(rows, _topics(spark), "metadata", METADATA).drop("timestamp")
 
 
 def _topic_roundtrip_metadata_micros(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _metadata(spark, folder)
+    rows = _metadata(spark, folder, spread=True)
     return round_trip(rows, _topics(spark), "metadata", METADATA, lossless_time=True).drop(
         "timestamp"
     )
@@ -324,6 +325,15 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, RESULT)
 
 
+def _land_csv_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing by way of a CSV spool."""
+    spool, table = shared_path(spark, "csv"), _name("landed")
+    write_csv(_dirty_result(spark, folder), spool)
+    create_table(spark, table, LANDED, shared_path(spark, table))
+    land_csv(spark, spool, table)
+    return scan(spark, table)
+
+
 def _save_as_table(spark: SparkSession, folder: str) -> DataFrame:
     table = _name("flight_max")
     save_table(_flight_max_offset(spark, folder), table, shared_path(spark, table))
@@ -367,6 +377,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "land_result_table": _land_result_table,
         "land_rejects": _land_rejects,
         "land_batch_table": _land_batch_table,
+        "land_csv_table": _land_csv_table,
         "csv_roundtrip": _csv_roundtrip,
         "save_as_table": _save_as_table,
     }
@@ -522,6 +533,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "land_result_table": landed,
         "land_batch_table": landed,
+        "land_csv_table": landed,
         "land_rejects": _select(
             "select concat_ws(',', case when value is null then 'no_value' end,"
             " case when \"MaxOffset\" is null then 'no_max_offset' end,"

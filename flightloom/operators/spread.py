@@ -9,11 +9,12 @@ def spread_small(df: DataFrame) -> DataFrame:
     """Deals the rows out to all cores, if the input is small; else ``df`` itself.
 
     JSON work is bound by CPU, and a small file, being one row group, is one task.
-    An input that has a full split for every core is left as it is: there a
-    shuffle would only cost.
+    Small means less than ``spark.sql.files.openCostInBytes`` (4 MB) per core, below
+    which Spark cannot cut one split for each. Anything larger is left as it is:
+    there a shuffle would only cost.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesOpenCostInBytes())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df if size >= cores * split else df.repartition(cores, *df.columns)

@@ -1,5 +1,5 @@
 from flightloom.plans.flight_max import flight_max_offset, publish_flight_max
-from flightloom.plans.landing import land_batch
+from flightloom.plans.landing import land_batch, land_csv
 from flightloom.plans.roundtrip import round_trip
 from flightloom.plans.route import filter_and_route
 
@@ -7,6 +7,7 @@ __all__ = [
     "filter_and_route",
     "flight_max_offset",
     "land_batch",
+    "land_csv",
     "publish_flight_max",
     "round_trip",
 ]

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from flightloom.functions import decode_nested
-from flightloom.operators import drop_tombstones, with_reject_reason
+from flightloom.operators import (
+    cast_to,
+    drop_tombstones,
+    reject_non_numeric,
+    with_reject_reason,
+)
 from flightloom.schemas import LANDED, REJECTED, RESULT
+from flightloom.sources.csv_files import read_csv
 from flightloom.sources.tables import append_rows, create_table
 
 # Extra last column of tables that are filled drain by drain.
@@ -45,7 +51,8 @@ def stage(records: DataFrame, path: str) -> None:
     """
     checked = with_reject_reason(decode_nested(drop_tombstones(records), RESULT))
     origin = F.when(F.col("reject_reason").isNotNull(), F.col("record")).alias("record")
-    checked.select(*LANDED.names, "reject_reason", origin).write.mode("overwrite").parquet(path)
+    staged = checked.select(*LANDED.names, "reject_reason", origin)
+    staged.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def staged_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -73,3 +80,14 @@ def land_batch(records: DataFrame, table: str, rejects: str, staging: str) -> No
     staged = staged_rows(records.sparkSession, staging)
     append_rows(kept_rows(staged), table)
     append_rows(refused_rows(staged), rejects)
+
+
+def land_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Appends result rows spooled as CSV to a table, which exists; returns the refused.
+
+    Rows are refused unless all four numbers are there.
+    """
+    numbers = ("value", "MaxOffset", "ems_system_id", "adi_flight_record_number")
+    kept, refused = reject_non_numeric(read_csv(spark, path, RESULT), numbers)
+    append_rows(cast_to(kept, LANDED), table)
+    return refused

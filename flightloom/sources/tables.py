@@ -21,12 +21,13 @@ def create_table(
 
     Parquet, because a comma in a text would break a comma-delimited table.
     """
-    statement = f"CREATE TABLE {table} ({ddl(schema)}) USING parquet"
+    statement = f"CREATE TABLE IDENTIFIER(:table) ({ddl(schema)}) USING parquet"
     if partition_columns:
-        statement += f" PARTITIONED BY ({', '.join(partition_columns)})"
+        statement += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_columns)})"
     if location:
-        statement += f" LOCATION '{location}'"
-    spark.sql(statement)
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        statement += f" LOCATION '{escaped}'"
+    spark.sql(statement, args={"table": table})
 
 
 def append_rows(df: DataFrame, table: str) -> None:

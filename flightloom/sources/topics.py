@@ -11,7 +11,7 @@ import re
 import warnings
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -153,11 +153,15 @@ class FileTopics:
         )
         if len(topics) == 1:
             path = f"{self._folder(topics[0])}/partition={number}"
-            rows.drop("topic").write.mode("append").parquet(path)
+            self._append(rows.drop("topic")).parquet(path)
         else:
-            rows.withColumn("partition", F.lit(number)).write.mode("append").partitionBy(
-                "topic", "partition"
-            ).parquet(self.root)
+            rows = rows.withColumn("partition", F.lit(number))
+            self._append(rows).partitionBy("topic", "partition").parquet(self.root)
+
+    @staticmethod
+    def _append(rows: DataFrame) -> DataFrameWriter:
+        # JSON text takes half the space in zstd that it takes in the default, snappy.
+        return rows.write.mode("append").option("compression", "zstd")
 
     def read(self, *topics: str) -> DataFrame:
         folders = [self._folder(topic) for topic in topics]

@@ -19,8 +19,9 @@ def _replace_batch(rows: DataFrame, table: str, batch: int) -> None:
     spark = rows.sparkSession
     columns = [c for c in spark.table(table).columns if c != BATCH]
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {int(batch)}) "
+        f"INSERT OVERWRITE TABLE IDENTIFIER(:table) PARTITION ({BATCH} = {int(batch)}) "
         f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}",
+        args={"table": table},
         rows=rows,
     )
 

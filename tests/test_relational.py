@@ -139,6 +139,39 @@ def test_hot_id_gives_the_brute_force_result(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("collapse", [True, False])
+def test_partitions_of_a_hot_id_are_split(spark, collapse):
+    """Values that never repeat: merging cannot shrink the hot id, so AQE must split it."""
+    n = 300_000
+    s = spark.range(n).selectExpr(
+        "if(id % 3 = 0, 0, id) as unique_id", "1 as ems_system_id",
+        "'p' as parameter_id", "id as value", "cast(id as double) as offset",
+    )
+    m = spark.range(n).selectExpr(
+        "cast(id as int) as adi_flight_record_number", "1 as ems_system_id",
+        "'p' as parameter_id", "id as unique_id",
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        result = flight_max_offset(s.repartition(16), m, collapse=collapse)
+        got = result.collect()
+        assert "SortMergeJoin(skew=true)" in plan(result)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == n
+    assert all(r.MaxOffset == r.value for r in got)
+
+
 def test_collapse_spreads_one_id_by_value(spark):
     s, _ = hot(spark)
     text = plan(collapse_samples(s))

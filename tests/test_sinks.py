@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from flightloom.functions import encode
 from flightloom.operators import cast_to, reject_non_numeric
-from flightloom.plans import land_batch
+from flightloom.plans import land_batch, land_csv
 from flightloom.plans.landing import create_landing_tables, refused_rows, stage, staged_rows
 from flightloom.schemas import LANDED, REJECTED, RESULT
 from flightloom.sources import FileTopics, append_rows, create_table, read_csv, save_table, write_csv
@@ -115,6 +115,15 @@ def test_landing_accounts_for_every_record(spark, path):
     assert bad.where("topic <> 'r' or offset is null or timestamp is null").count() == 0
 
 
+def test_csv_landing_refuses_rows_without_all_numbers(spark, path):
+    bad = [(None, 1, "p", 1, 1.0), (1, None, "p", 1, 1.0), (1, 1, "p", None, 1.0), (1, 1, "p", 1, NAN)]
+    write_csv(result(spark, GOOD + bad), path("csv"))
+    create_table(spark, "ok_csv", LANDED, path("ok_csv"))
+    refused = land_csv(spark, path("csv"), "ok_csv")
+    assert rows(spark.table("ok_csv")) == landed(GOOD)
+    assert rows(refused) == rows(result(spark, bad))
+
+
 def test_staging_parses_once_and_skips_by_statistics(spark, path):
     topics = FileTopics(spark, path("topics"))
     topics.publish(payloads(spark, DIRTY), "r")
@@ -180,6 +189,35 @@ def test_repeated_batch_replaces_itself(spark, path):
     assert spark.table("ok_r").count() == 3
 
 
+def test_landing_that_dies_midway_is_whole_after_a_retry(spark, path, monkeypatch):
+    from flightloom.streaming import land
+
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
+    topics.publish(payloads(spark, DIRTY), "r")
+
+    def run(create):
+        land_topic(
+            topics.read_stream("r"), "ok_d", "bad_d", path("staging"), path("pos"),
+            create=create, location=path("tables"),
+        )
+
+    real = land._replace_batch
+
+    def dies_on_rejects(df, table, batch):
+        if table == "bad_d":
+            raise OSError("lost")
+        real(df, table, batch)
+
+    monkeypatch.setattr(land, "_replace_batch", dies_on_rejects)
+    with pytest.raises(Exception, match="lost"):
+        run(True)
+    monkeypatch.setattr(land, "_replace_batch", real)
+    run(False)
+    assert rows(spark.table("ok_d").select(*LANDED.names)) == landed(GOOD)
+    assert spark.table("bad_d").count() == len(DIRTY)
+
+
 def test_topic_maximum_equals_batch_maximum(spark, path):
     topics = FileTopics(spark, path("topics"))
     topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")

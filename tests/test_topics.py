@@ -124,3 +124,8 @@ def test_shuffle_partitions_follow_the_data():
 def test_decode_of_topic_has_no_shuffle(words, topics):
     topics.publish(encode(words, "unique_id"), "a")
     assert "Exchange" not in plan(decode(topics.read("a"), WORD))
+
+
+def test_decode_reads_only_payload_and_time(words, topics):
+    topics.publish(encode(words, "unique_id"), "a")
+    assert "ReadSchema: struct<value:binary,timestamp:timestamp>" in plan(decode(topics.read("a"), WORD))
