@@ -48,7 +48,7 @@ from flightloom.sources import (
 from flightloom.streaming import drain_typed, land_topic
 
 PERIODS = ["1998-08"]
-INLINE = [(8, "kite"), (64, "otter"), (-27, "maple")]
+INLINE = [(8, "kite"), (93, "otter"), (-5, "maple")]
 
 
 def entry(spark: SparkSession) -> DataFrame:

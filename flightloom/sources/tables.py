@@ -42,7 +42,14 @@ def save_table(
     location: str | None = None,
     partition_columns: Sequence[str] = (),
 ) -> None:
-    """Saves a frame as a new catalog table; fails if it exists."""
+    """Saves a frame as a new catalog table; fails if it exists.
+
+    Rows of a partitioned table are brought together first, or every task would write
+    a file per partition. The rebalance lets AQE split a partition value with many
+    rows over several tasks, and merge those with few.
+    """
+    if partition_columns:
+        df = df.hint("rebalance", *partition_columns)
     writer = df.write.format("parquet").mode("errorifexists")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)

@@ -207,7 +207,7 @@ def test_period_filter_prunes_directories(spark, path):
 
 
 def test_inline_rows_are_typed_and_filtered(spark):
-    df = inline_rows(spark, [(8, "kite"), (64, "otter"), (-27, "maple")], "unique_id int, word string")
+    df = inline_rows(spark, [(8, "kite"), (93, "otter"), (-5, "maple")], "unique_id int, word string")
     assert df.count() == 3
     assert rows(equals(df, "unique_id", 8)) == [(8, "kite")]
 

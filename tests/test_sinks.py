@@ -73,6 +73,27 @@ def test_save_table_fails_if_it_exists(spark, path):
         save_table(result(spark, GOOD), "saved", path("saved"))
 
 
+def test_partitioned_save_splits_a_hot_period_and_merges_the_rest(spark, path):
+    n = 400_000
+    df = spark.range(0, n, 1, 32).selectExpr(
+        "if(id % 3 = 0, '2018-08', concat('2019-', lpad(id % 12 + 1, 2, '0'))) as sub_part1",
+        "xxhash64(id) as value",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256KB")
+    try:
+        save_table(df, "hot_period", path("hot_period"), ["sub_part1"])
+    finally:
+        spark.conf.set(key, before)
+    saved = spark.table("hot_period")
+    files = saved.inputFiles()
+    assert sum("2018-08" in f for f in files) > 1
+    assert len(files) < 100
+    assert saved.count() == n
+    assert saved.select("value").exceptAll(df.select("value")).count() == 0
+
+
 def test_reject_splits_all_rows(spark):
     data = [*GOOD, (1, 1, "p", None, 1.0), (1, 1, "p", 1, NAN), (1, 1, "p", 1, None)]
     kept, refused = reject_non_numeric(result(spark, data))

@@ -8,7 +8,7 @@ from flightloom.session import settings, shared_path
 from flightloom.sources import FileTopics, KafkaTopics
 from tests.util import plan, rows
 
-WORDS = [(8, "kite"), (64, "otter"), (-27, "maple")]
+WORDS = [(8, "kite"), (93, "otter"), (-5, "maple")]
 
 
 @pytest.fixture
@@ -93,7 +93,7 @@ def test_kafka_options(spark):
             spark,
             "host:9092",
             read_options={"enable.auto.commit": "false", "isolation.level": "read_committed"},
-            write_options={"enable.idempotence": "true", "transactional.id": "prod-1"},
+            write_options={"enable.idempotence": "true", "transactional.id": "t-1"},
         )
     assert topics.source_options("a", "b") == {
         "kafka.bootstrap.servers": "host:9092",
