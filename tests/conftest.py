@@ -12,7 +12,7 @@ from flightloom.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8,3]",  # tasks may fail twice, for the tests that lose some
         extra={
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",

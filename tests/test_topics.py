@@ -129,3 +129,23 @@ def test_decode_of_topic_has_no_shuffle(words, topics):
 def test_decode_reads_only_payload_and_time(words, topics):
     topics.publish(encode(words, "unique_id"), "a")
     assert "ReadSchema: struct<value:binary,timestamp:timestamp>" in plan(decode(topics.read("a"), WORD))
+
+
+def test_publish_survives_lost_tasks(spark, topics):
+    """Every second task dies in its first try, after some rows."""
+
+    def lossy(batches):
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        for batch in batches:
+            yield batch
+            if context.attemptNumber() == 0 and context.partitionId() % 2:
+                raise RuntimeError("lost")
+
+    rows_in = spark.range(0, 8000, 1, 8).selectExpr("cast(id as int) as unique_id", "'w' as word")
+    topics.publish(encode(rows_in.mapInArrow(lossy, WORD), "unique_id"), "a", "b")
+    for name in ("a", "b"):
+        records = topics.read(name)
+        assert rows(decode(records, WORD).drop("timestamp")) == rows(rows_in)
+        assert records.select("partition", "offset").distinct().count() == 8000
