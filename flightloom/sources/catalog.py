@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from flightloom.operators import equals, in_periods
+
 
 def scan(spark: SparkSession, table: str, unique_id: int | None = None) -> DataFrame:
     """All columns of a table, or of the rows with one ``unique_id``.
@@ -15,7 +16,7 @@ def scan(spark: SparkSession, table: str, unique_id: int | None = None) -> DataF
     Columns a job does not use are pruned, and the equality reaches the files.
     """
     df = spark.table(table)
-    return df if unique_id is None else df.where(F.col("unique_id") == F.lit(unique_id))
+    return df if unique_id is None else equals(df, "unique_id", unique_id)
 
 
 def scan_where_in(
@@ -30,7 +31,7 @@ def scan_where_in(
     Values are bound as literals, never pasted in SQL text. On a table partitioned
     by ``column`` only the matching directories are read.
     """
-    df = spark.table(table).where(F.col(column).isin(*periods))
+    df = in_periods(spark.table(table), periods, column)
     return df if limit is None else df.limit(limit)
 
 

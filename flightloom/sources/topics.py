@@ -7,11 +7,14 @@ again appends its records again, and a batch read returns the whole topic.
 
 from __future__ import annotations
 
+import itertools
+import random
 import re
+import uuid
 import warnings
 from typing import Protocol
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,16 +32,15 @@ class Topics(Protocol):
         """The records as a stream, from the first one on."""
 
 
-def _to_each(records: DataFrame, topics: tuple[str, ...]) -> DataFrame:
-    """One row per record and topic, with the topic's name in column ``topic``."""
-    if not topics:
-        raise ValueError("name at least one topic")
-    rows = records.select(
+def _named(topics: tuple[str, ...]) -> None:
+    if not topics or len(set(topics)) < len(topics):
+        raise ValueError(f"name one or more different topics, not {topics}")
+
+
+def _key_and_value(records: DataFrame) -> DataFrame:
+    return records.select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value")
     )
-    if len(topics) == 1:
-        return rows.withColumn("topic", F.lit(topics[0]))
-    return rows.withColumn("topic", F.explode(F.array(*[F.lit(t) for t in topics])))
 
 
 class KafkaTopics:
@@ -82,6 +84,7 @@ class KafkaTopics:
         return result
 
     def source_options(self, *topics: str) -> dict[str, str]:
+        _named(topics)
         return {
             **self._read,
             "kafka.bootstrap.servers": self.servers,
@@ -92,7 +95,9 @@ class KafkaTopics:
         return {**self._write, "kafka.bootstrap.servers": self.servers}
 
     def publish(self, records: DataFrame, *topics: str) -> None:
-        rows = _to_each(records, topics)
+        _named(topics)
+        each = F.explode(F.array(*[F.lit(topic) for topic in topics]))
+        rows = _key_and_value(records).withColumn("topic", each)
         rows.write.format("kafka").options(**self.sink_options()).save()
 
     def read(self, *topics: str) -> DataFrame:
@@ -129,41 +134,52 @@ class FileTopics:
         return f"{self.root}/topic={topic}"
 
     def _claim_partition(self, topics: tuple[str, ...]) -> int:
-        """A partition number no other publish uses; creating a file decides who has it."""
+        """A partition number no other publish uses.
+
+        A publish files its own claim to a number, and then looks who else did. Of two,
+        the later one to file sees the earlier, so a number without rivals is safe; a
+        contested one is given up. The folder's listing must show files just created.
+        """
         jvm = self.spark._jvm
-        claims = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claims")
+        path = jvm.org.apache.hadoop.fs.Path
+        claims = path(f"{self.root}/_claims")
         files = claims.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.mkdirs(claims)
-        for topic in topics:
-            files.mkdirs(jvm.org.apache.hadoop.fs.Path(self._folder(topic)))
-        number = len(files.listStatus(claims))
-        while not files.createNewFile(jvm.org.apache.hadoop.fs.Path(claims, str(number))):
-            number += 1
-        return number
+        for folder in (claims, *[path(self._folder(topic)) for topic in topics]):
+            files.mkdirs(folder)
+
+        def filed() -> list[int]:
+            return [int(f.getPath().getName().split("-")[0]) for f in files.listStatus(claims)]
+
+        for tries in itertools.count(1):
+            number = max(filed(), default=-1) + random.randint(1, tries)
+            files.create(path(claims, f"{number}-{uuid.uuid4().hex}"), False).close()
+            if filed().count(number) == 1:
+                return number
 
     def publish(self, records: DataFrame, *topics: str) -> None:
-        number = self._claim_partition(topics)
-        rows = _to_each(records, topics).select(
+        _named(topics)
+        rows = _key_and_value(records).select(
             "key",
             "value",
             F.monotonically_increasing_id().alias("offset"),
             F.current_timestamp().alias("timestamp"),
             F.lit(0).alias("timestampType"),
-            "topic",
         )
-        if len(topics) == 1:
-            path = f"{self._folder(topics[0])}/partition={number}"
-            self._append(rows.drop("topic")).parquet(path)
-        else:
-            rows = rows.withColumn("partition", F.lit(number))
-            self._append(rows).partitionBy("topic", "partition").parquet(self.root)
+        # Each topic has a folder of its own, so that publishers cannot meet in one; the
+        # further ones are copied from the first, so that the source is read once.
+        number = self._claim_partition(topics)
+        first, *others = [f"{self._folder(topic)}/partition={number}" for topic in topics]
+        self._write(rows, first)
+        for other in others:
+            self._write(self.spark.read.schema(self._STORED).parquet(first), other)
 
     @staticmethod
-    def _append(rows: DataFrame) -> DataFrameWriter:
+    def _write(rows: DataFrame, path: str) -> None:
         # JSON text takes half the space in zstd that it takes in the default, snappy.
-        return rows.write.mode("append").option("compression", "zstd")
+        rows.write.mode("append").option("compression", "zstd").parquet(path)
 
     def read(self, *topics: str) -> DataFrame:
+        _named(topics)
         folders = [self._folder(topic) for topic in topics]
         return (
             self.spark.read.schema(RECORD)
@@ -173,6 +189,7 @@ class FileTopics:
         )
 
     def read_stream(self, *topics: str, **options: str) -> DataFrame:
+        _named(topics)
         streams = [self._stream(topic, options) for topic in topics]
         result = streams[0]
         for stream in streams[1:]:

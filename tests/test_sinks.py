@@ -1,4 +1,9 @@
+import math
+import uuid
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -136,6 +141,35 @@ def test_landing_accounts_for_every_record(spark, path):
     assert bad.where("topic <> 'r' or offset is null or timestamp is null").count() == 0
 
 
+small = st.none() | st.integers(0, 3)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            small, small, st.none() | st.sampled_from(["p", "a,b", ""]), small,
+            st.none() | st.sampled_from([1.5, NAN, float("inf")]),
+        ),
+        min_size=1,
+        max_size=10,
+    )
+)
+def test_landing_matches_brute_force(spark, path, data):
+    def lands(row):
+        adi, ems, _, value, top = row
+        return None not in (adi, ems, value, top) and not math.isnan(top)
+
+    run = uuid.uuid4().hex
+    topics = FileTopics(spark, path(f"topics_{run}"))
+    topics.publish(encode(result(spark, data), "adi_flight_record_number"), "r")
+    table, rejects = f"ok_{run}", f"bad_{run}"
+    create_landing_tables(spark, table, rejects, path("tables"))
+    land_batch(topics.read("r"), table, rejects, path(f"staging_{run}"))
+    assert rows(spark.table(table)) == landed([r for r in data if lands(r)])
+    assert spark.table(rejects).count() == sum(not lands(r) for r in data)
+
+
 def test_csv_landing_refuses_rows_without_all_numbers(spark, path):
     bad = [(None, 1, "p", 1, 1.0), (1, None, "p", 1, 1.0), (1, 1, "p", None, 1.0), (1, 1, "p", 1, NAN)]
     write_csv(result(spark, GOOD + bad), path("csv"))

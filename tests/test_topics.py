@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,8 +49,20 @@ def test_reading_lists_only_named_topics(words, topics):
 def test_topic_names_are_checked(words, topics):
     with pytest.raises(ValueError):
         topics.publish(encode(words, "unique_id"), "../x")
-    with pytest.raises(ValueError):
-        topics.publish(encode(words, "unique_id"))
+    for names in ((), ("a", "a")):
+        with pytest.raises(ValueError):
+            topics.publish(encode(words, "unique_id"), *names)
+
+
+def test_reading_needs_a_topic(spark, topics):
+    for read in (topics.read, topics.read_stream, KafkaTopics(spark, "h:1").source_options):
+        with pytest.raises(ValueError):
+            read()
+
+
+def test_topic_names_stay_text(words, topics):
+    topics.publish(encode(words, "unique_id"), "007")
+    assert {r.topic for r in topics.read("007").collect()} == {"007"}
 
 
 def test_null_key_and_tombstone_survive(spark, topics):
@@ -83,7 +97,24 @@ def test_one_publish_scans_its_source_once(spark, words, topics):
     assert seen.value == 3
 
 
-def test_several_topics_are_written_without_a_sort(spark):
+def test_publishers_at_the_same_time_do_not_meet(spark, words, topics):
+    encoded = encode(words, "unique_id")
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda _: topics.publish(encoded, "a", "b"), range(6)))
+    for name in ("a", "b"):
+        records = topics.read(name)
+        assert records.count() == 18
+        assert records.select("partition", "offset").distinct().count() == 18
+        assert records.select("partition").distinct().count() == 6
+
+
+def test_contested_claims_are_single(topics):
+    with ThreadPoolExecutor(12) as pool:
+        claims = list(pool.map(lambda _: topics._claim_partition(("a",)), range(120)))
+    assert len(set(claims)) == 120
+
+
+def test_partitioned_saves_are_planned_without_a_sort(spark):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "16"
 
 
