@@ -7,7 +7,6 @@ again appends its records again, and a batch read returns the whole topic.
 
 from __future__ import annotations
 
-import itertools
 import random
 import re
 import uuid
@@ -116,8 +115,8 @@ class KafkaTopics:
 class FileTopics:
     """Topics as parquet files below a folder that all executors share.
 
-    Layout: ``<root>/topic=<name>/partition=<n>/*.parquet``. Every publish claims the
-    next ``n`` for itself, and numbers its rows without a shuffle, so
+    Layout: ``<root>/topic=<name>/partition=<n>/*.parquet``. Every publish claims an
+    ``n`` for itself, and numbers its rows without a shuffle, so
     ``(topic, partition, offset)`` is unique, though offsets have gaps. Readers list only
     the folders of the topics they name.
     """
@@ -136,24 +135,20 @@ class FileTopics:
     def _claim_partition(self, topics: tuple[str, ...]) -> int:
         """A partition number no other publish uses.
 
-        A publish files its own claim to a number, and then looks who else did. Of two,
-        the later one to file sees the earlier, so a number without rivals is safe; a
-        contested one is given up. The folder's listing must show files just created.
+        A publish draws a number, files a claim in the number's folder, and then looks who
+        else did. Of two, the later one to file sees the earlier, so a number without
+        rivals is safe; any other is drawn anew. Claims stay, so no number comes twice.
         """
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path
-        claims = path(f"{self.root}/_claims")
-        files = claims.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for folder in (claims, *[path(self._folder(topic)) for topic in topics]):
-            files.mkdirs(folder)
-
-        def filed() -> list[int]:
-            return [int(f.getPath().getName().split("-")[0]) for f in files.listStatus(claims)]
-
-        for tries in itertools.count(1):
-            number = max(filed(), default=-1) + random.randint(1, tries)
-            files.create(path(claims, f"{number}-{uuid.uuid4().hex}"), False).close()
-            if filed().count(number) == 1:
+        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for topic in topics:
+            files.mkdirs(path(self._folder(topic)))
+        while True:
+            number = random.randrange(2**31)
+            claims = path(f"{self.root}/_claims/{number}")
+            files.create(path(claims, uuid.uuid4().hex), False).close()
+            if len(files.listStatus(claims)) == 1:
                 return number
 
     def publish(self, records: DataFrame, *topics: str) -> None:
