@@ -3,15 +3,10 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Kept for the life of the process; removed when it ends.
-_local_folder: tempfile.TemporaryDirectory | None = None
-
-
 def settings(shuffle_bytes: int | None = None) -> dict[str, str]:
     """SQL settings the jobs are designed for.
 
@@ -56,15 +51,10 @@ def build_session(
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path that every executor can reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, where driver and executors are one process, may do without.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Where that is
+    unset it lies below the warehouse, which executors must reach as well.
     """
-    global _local_folder
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        if _local_folder is None:
-            _local_folder = tempfile.TemporaryDirectory(prefix="flightloom-")
-        base = _local_folder.name
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
