@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.llm.texts import columns_out, sliced, written
@@ -40,6 +40,13 @@ _RUNS_ARROW = pa.schema([*_LINES_ARROW, ("state", pa.int32())])
 _DROP, _OPEN, _WITNESS = 0, 1, 2
 
 
+def count_lines(text: str) -> Column:
+    """Lines of a text; a NULL text is one empty line."""
+    whole = F.coalesce(text, F.lit(""))
+    breaks = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit("")))
+    return (breaks + 1).cast("bigint")
+
+
 def _identity(docs: DataFrame) -> DataFrame:
     """``doc`` and ``text_hash`` name a row; equal rows share them."""
     return docs.withColumns(

@@ -60,16 +60,20 @@ def sliced(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[
 
 
 class WordCache(dict):
-    """A value per word, found once; emptied when it has grown to ``limit`` words."""
+    """A value per word, found once. Holds ``limit`` words and as many of those before."""
 
-    def __init__(self, value: Callable[[bytes], object], limit: int = 400_000) -> None:
+    def __init__(self, value: Callable[[bytes], object], limit: int = 300_000) -> None:
         super().__init__()
-        self.value, self.limit = value, limit
+        self.value, self.limit, self.older = value, limit, {}
 
     def __missing__(self, word):
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        found = self[word] = self.value(word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.value(word)
+        self[word] = found
         return found
 
 
