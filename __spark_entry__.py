@@ -47,6 +47,15 @@ from flightloom.sources import (
 )
 from flightloom.streaming import drain_typed, land_topic
 
+# The training-data operators are an own part, which may be absent as a whole.
+try:
+    import corpus_pipeline
+    from flightloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "flightloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 PERIODS = ["1998-08"]
 INLINE = [(8, "kite"), (93, "otter"), (-5, "maple")]
 
@@ -380,6 +389,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "land_csv_table": _land_csv_table,
         "csv_roundtrip": _csv_roundtrip,
         "save_as_table": _save_as_table,
+        **(llm_queries.queries() if llm_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
@@ -543,4 +554,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "csv_roundtrip": result,
         "save_as_table": result,
+        **(llm_queries.oracle_sql() if llm_queries else {}),
+        **(
+            {"pipeline": corpus_pipeline.ORACLE_SQL}
+            if corpus_pipeline and corpus_pipeline.ORACLE_SQL
+            else {}
+        ),
     }
