@@ -30,7 +30,8 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word vectors come from the rows at hand, the network from the training labels."""
+    """Fitted on all documents and their training labels, as the rules stage has taken away
+    most of the bad ones; applied to what that stage kept."""
     labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1)
     model = quality_classifier.fit(table(spark, sf_dir, "documents"), labels)
     return quality_classifier.keep_good(docs, model, LEAST_QUALITY)

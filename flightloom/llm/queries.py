@@ -175,7 +175,7 @@ with recursive worded as (
 ), shingled as (
   select doc_id, unnest(case when len(w) = 0 then []
     when len(w) < 5 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) end) as s
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) end) as s
   from worded
 ), sets as (select distinct doc_id, s from shingled),
 sizes as (select doc_id, count(*) as n from sets group by doc_id),
