@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import ahocorasick
 import numpy as np
@@ -160,11 +161,33 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     )
 
 
+_DIGESTS = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("n_tokens", pa.int64()),
+        ("ids_sha256", pa.string()),
+        ("decoded_sha256", pa.string()),
+    ]
+)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document the number of ids and the digests of ids and decoded text."""
-    return decode(encode(docs, path), path).select(
-        "doc_id",
-        (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """Per document the number of ids and the digests of ids and decoded text.
+
+    Encodes and decodes in one step, so that a task needs one worker and one table.
+    """
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = prefix_table(path)
+        for batch in sliced(batches):
+            ids = [table.encode(text) for text in batch["text"].to_pylist()]
+            columns = {
+                "doc_id": batch["doc_id"],
+                "n_tokens": [len(i) // 4 for i in ids],
+                "ids_sha256": [sha256(i).hexdigest() for i in ids],
+                "decoded_sha256": [sha256(table.decode(i).encode()).hexdigest() for i in ids],
+            }
+            yield columns_out(_DIGESTS, columns)
+
+    fields = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return _texts(docs).mapInArrow(both, fields)
