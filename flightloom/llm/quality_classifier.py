@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.texts import WordCache, columns_out, id_and_text, sliced
+from flightloom.llm.texts import WordCache, columns_out, hash_sample, id_and_text, sliced
 
 WORDS, SHAPES, DIM = 4096, 512, 48
 NONZERO = 6
@@ -46,9 +46,9 @@ def shape(word: bytes) -> bytes:
 
 
 # By a word's translated form, of which there are few, and by the word: both rows in a number.
-_FORM_OF = WordCache(lambda kinds: crc32(shape(kinds)) % SHAPES, limit=100_000)
+_FORM_OF = WordCache(lambda kinds: crc32(shape(kinds)) % SHAPES, limit=50_000)
 _ROWS_OF = WordCache(
-    lambda word: crc32(word) % WORDS * SHAPES + _FORM_OF[word.translate(_KINDS)], limit=300_000
+    lambda word: crc32(word) % WORDS * SHAPES + _FORM_OF[word.translate(_KINDS)], limit=150_000
 )
 
 
@@ -229,9 +229,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     known = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")
     ).filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     # Bounded by ``most`` small rows.
-    return id_and_text(docs).join(F.broadcast(chosen), "doc_id")
+    return id_and_text(docs).join(F.broadcast(hash_sample(known, most)), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, Network]:

@@ -43,6 +43,18 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def hash_sample(ids: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, those with the least hashes of ``doc_id``; repeatable.
+
+    All but about twice as many are filtered out where they are, so that the task that sorts
+    the rest has a bounded number of rows.
+    """
+    share = min(1.0, (2 * most + 100) / max(1, ids.count()))
+    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    few = ids.filter(rank < int(share * (1 << 40)))
+    return few.orderBy(rank, *ids.columns).limit(most)
+
+
 def columns_out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
@@ -78,7 +90,7 @@ class WordCache(dict):
 
 
 # One per Python worker, which serves many tasks.
-_HASHES = WordCache(xxhash.xxh3_64_intdigest)
+_HASHES = WordCache(xxhash.xxh3_64_intdigest, limit=150_000)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

@@ -27,7 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.texts import WordCache, columns_out, id_and_text, sliced, written
+from flightloom.llm.texts import (
+    WordCache,
+    columns_out,
+    hash_sample,
+    id_and_text,
+    sliced,
+    written,
+)
 
 MOST_POSITIVE, MOST_UNLABELLED = 4_000, 8_000
 FEATURES = 1_500
@@ -103,7 +110,7 @@ _FEATURE_ROWS = pa.schema(
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = WordCache(word_features, limit=200_000)
+    found = WordCache(word_features, limit=50_000)
     for batch in sliced(batches, 4 << 20):
         rows = [[f for w in distinct_words(t) for f in found[w]] for t in batch["text"].to_pylist()]
         yield columns_out(_FEATURE_ROWS, {"positive": batch["positive"], "features": rows})
@@ -111,11 +118,10 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sample(docs: DataFrame, confirmed: DataFrame, most: tuple[int, int]) -> DataFrame:
     """Features of confirmed and of unlabelled documents, chosen by a hash of the id."""
-    order = [F.xxhash64("doc_id"), "doc_id"]
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id is not null")
-    positive = confirmed.select("doc_id").distinct().orderBy(*order).limit(most[0])
+    positive = hash_sample(confirmed.select("doc_id").distinct(), most[0])
     # Confirmed ones stay among the unlabelled: the prior is that of all text.
-    unlabelled = ids.distinct().orderBy(*order).limit(most[1])
+    unlabelled = hash_sample(ids.distinct(), most[1])
     chosen = positive.withColumn("positive", F.lit(1)).union(
         unlabelled.withColumn("positive", F.lit(0))
     )
@@ -190,7 +196,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        adds = WordCache(shared.value.word, limit=300_000)
+        adds = WordCache(shared.value.word, limit=150_000)
         bias = shared.value.bias
         for batch in sliced(batches):
             texts = batch["text"].to_pylist()
