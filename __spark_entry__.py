@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from flightloom.operators import (
     reject_non_numeric,
     rekey,
     select_columns,
+    unique_records,
 )
 from flightloom.plans import (
     filter_and_route,
@@ -68,14 +70,14 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- inputs ---------------------------------------------------------------------
 
 
-def _samples(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def _samples(spark: SparkSession, folder: str) -> DataFrame:
     """The samples through the catalog, as a job gets them."""
-    testbed.samples(spark, folder, spread).createOrReplaceTempView("flight_samples")
+    testbed.samples(spark, folder).createOrReplaceTempView("flight_samples")
     return scan(spark, "flight_samples")
 
 
-def _metadata(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
-    testbed.metadata(spark, folder, spread).createOrReplaceTempView("flight_metadata")
+def _metadata(spark: SparkSession, folder: str) -> DataFrame:
+    testbed.metadata(spark, folder).createOrReplaceTempView("flight_metadata")
     return scan(spark, "flight_metadata")
 
 
@@ -126,9 +128,22 @@ def _scan_partition_in(spark: SparkSession, folder: str) -> DataFrame:
     return scan_where_in(spark, "flight_samples", PERIODS)
 
 
+def _counted_in(shown: DataFrame, source: DataFrame) -> DataFrame:
+    """How many rows are shown, and how many of these are rows of the source.
+
+    Which rows a limit shows has no order; these two numbers have one answer.
+    """
+    there = source.distinct().withColumn("there", F.lit(1))
+    same = [shown[c].eqNullSafe(there[c]) for c in shown.columns]
+    return shown.join(there, same, "left").agg(
+        F.count("*").alias("n_shown"), F.count("there").alias("n_of_source")
+    )
+
+
 def _scan_partition_in_limit(spark: SparkSession, folder: str) -> DataFrame:
     testbed.samples(spark, folder).createOrReplaceTempView("flight_samples")
-    return scan_where_in(spark, "flight_samples", PERIODS, limit=3)
+    shown = scan_where_in(spark, "flight_samples", PERIODS, limit=3)
+    return _counted_in(shown, scan_where_in(spark, "flight_samples", PERIODS))
 
 
 def _scan_partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,18 +163,19 @@ def _inline_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _preview(spark: SparkSession, folder: str) -> DataFrame:
-    return preview(_samples(spark, folder))
+    samples = _samples(spark, folder)
+    return _counted_in(preview(samples), samples)
 
 
 # --- envelope ---------------------------------------------------------------------
 
 
 def _encode_samples(spark: SparkSession, folder: str) -> DataFrame:
-    return encode(_samples(spark, folder, spread=True), "unique_id")
+    return encode(_samples(spark, folder), "unique_id")
 
 
 def _encode_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    return encode(_metadata(spark, folder, spread=True), "unique_id")
+    return encode(_metadata(spark, folder), "unique_id")
 
 
 def _decode_samples(spark: SparkSession, folder: str) -> DataFrame:
@@ -229,22 +245,41 @@ def _flight_max_offset_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _topic_roundtrip_samples(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _samples(spark, folder, spread=True)
+    rows = _samples(spark, folder)
     return round_trip(rows, _topics(spark), "samples", SAMPLES).drop("timestamp")
 
 
 def _topic_roundtrip_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _metadata(spark, folder, spread=True)
+    rows = _metadata(spark, folder)
     return round_trip(rows, _topics(spark), "metadata", METADATA).drop("timestamp")
 
 
 def _topic_roundtrip_metadata_micros(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _metadata(spark, folder, spread=True)
+    rows = _metadata(spark, folder)
     return round_trip(rows, _topics(spark), "metadata", METADATA, lossless_time=True).drop(
         "timestamp"
     )
 
 
+def _topic_record_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Every decoded record keeps the time at which the topic got it."""
+    before = F.lit(datetime.now(UTC))
+    rows = _samples(spark, folder)
+    read = round_trip(rows, _topics(spark), "samples", SAMPLES)
+    late = (F.col("timestamp") >= before) & (F.col("timestamp") <= F.current_timestamp())
+    return read.agg(
+        F.count("*").alias("n_records"), F.count(F.when(late, 1)).alias("n_with_time")
+    )
+
+
+def _unique_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Two overlapping reads of a topic, each record once."""
+    topics = _topics(spark)
+    topics.publish(_encode_samples(spark, folder), "samples")
+    records = topics.read("samples").union(topics.read("samples"))
+    return decode(unique_records(records), SAMPLES).drop("timestamp")
+
+
 def _filter_route(spark: SparkSession, folder: str) -> DataFrame:
     routed = filter_and_route(
         testbed.words(spark, folder),
@@ -311,9 +346,11 @@ def _land_batch_table(spark: SparkSession, folder: str) -> DataFrame:
     topics = _topics(spark)
     topics.publish(encode(_dirty_result(spark, folder), "adi_flight_record_number"), "results")
     table, rejects = _name("landed"), _name("rejected")
-    create_landing_tables(spark, table, rejects, shared_path(spark, "warehouse"))
-    land_batch(topics.read("results"), table, rejects, shared_path(spark, "staging"))
-    return spark.table(table)
+    create_landing_tables(spark, table, rejects, shared_path(spark, "warehouse"), by_batch=True)
+    staging = shared_path(spark, "staging")
+    for _ in range(2):  # a load that is run again leaves no row twice
+        land_batch(topics.read("results"), table, rejects, staging, load="first")
+    return spark.table(table).select(*LANDED.names)
 
 
 def _reject_non_numeric(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,13 +371,34 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, RESULT)
 
 
-def _land_csv_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The landing by way of a CSV spool."""
-    spool, table = shared_path(spark, "csv"), _name("landed")
+def _landed_csv(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The landing by way of a CSV spool; the names of both tables."""
+    spool, table, rejects = shared_path(spark, "csv"), _name("landed"), _name("rejected")
     write_csv(_dirty_result(spark, folder), spool)
     create_table(spark, table, LANDED, shared_path(spark, table))
-    land_csv(spark, spool, table)
-    return scan(spark, table)
+    create_table(spark, rejects, RESULT, shared_path(spark, rejects))
+    land_csv(spark, spool, table, rejects)
+    return table, rejects
+
+
+def _land_csv_table(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(spark, _landed_csv(spark, folder)[0])
+
+
+def _land_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(spark, _landed_csv(spark, folder)[1]).selectExpr(
+        "adi_flight_record_number",
+        "ems_system_id",
+        "parameter_id",
+        "value is null as no_value",
+        "MaxOffset is null as no_max_offset",
+        "coalesce(isnan(MaxOffset), false) as not_a_number",
+    )
+
+
+def _flight_max_offset_collapsed(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship with repeated sample values merged ahead of the join."""
+    return flight_max_offset(_samples(spark, folder), _metadata(spark, folder), collapse=True)
 
 
 def _save_as_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -374,11 +432,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "collapse_samples": _collapse_samples,
         "max_offset": _max_offset,
         "flight_max_offset": _flight_max_offset,
+        "flight_max_offset_collapsed": _flight_max_offset_collapsed,
         "flight_max_offset_one_id": _flight_max_offset_one_id,
         "flight_max_offset_roundtrip": _flight_max_offset_roundtrip,
         "topic_roundtrip_samples": _topic_roundtrip_samples,
         "topic_roundtrip_metadata": _topic_roundtrip_metadata,
         "topic_roundtrip_metadata_micros": _topic_roundtrip_metadata_micros,
+        "topic_record_times": _topic_record_times,
+        "unique_records": _unique_records,
         "filter_route": _filter_route,
         "stream_drain": _stream_drain,
         "reject_non_numeric": _reject_non_numeric,
@@ -387,6 +448,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "land_rejects": _land_rejects,
         "land_batch_table": _land_batch_table,
         "land_csv_table": _land_csv_table,
+        "land_csv_rejects": _land_csv_rejects,
         "csv_roundtrip": _csv_roundtrip,
         "save_as_table": _save_as_table,
         **(llm_queries.queries() if llm_queries else {}),
@@ -473,7 +535,7 @@ def _select(what: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; the two plain LIMIT queries have none."""
+    """DuckDB SQL per query; some training-data queries have none."""
     samples = _select("select * from samples")
     result = _select("select * from result")
     cut = "date_trunc('milliseconds', ingestion_timestamp) as ingestion_timestamp"
@@ -497,6 +559,18 @@ def oracle_sql() -> dict[str, str]:
         "scan_filtered": _select("select * from samples where unique_id = 8"),
         "filter_eq": _select("select * from samples where file_type = 'R'"),
         "scan_partition_in": period,
+        "scan_partition_in_limit": _select(
+            "select least(3, count(*)) as n_shown, least(3, count(*)) as n_of_source"
+            " from samples where sub_part1 in ('1998-08')"
+        ),
+        "preview": _select(
+            "select least(20, count(*)) as n_shown, least(20, count(*)) as n_of_source"
+            " from samples"
+        ),
+        "topic_record_times": _select(
+            "select count(*) as n_records, count(*) as n_with_time from samples"
+        ),
+        "unique_records": samples,
         "scan_partitioned_table": period,
         "inline_rows": _select(
             'select s.unique_id, w.word, s."offset", s.value from samples s'
@@ -523,6 +597,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "max_offset": result,
         "flight_max_offset": result,
+        "flight_max_offset_collapsed": result,
         "flight_max_offset_one_id": _select(
             'select adi_flight_record_number, ems_system_id, parameter_id, value,'
             ' max("offset") as "MaxOffset" from joined where unique_id = 9'
@@ -545,6 +620,12 @@ def oracle_sql() -> dict[str, str]:
         "land_result_table": landed,
         "land_batch_table": landed,
         "land_csv_table": landed,
+        "land_csv_rejects": _select(
+            "select adi_flight_record_number, ems_system_id, parameter_id,"
+            ' value is null as no_value, "MaxOffset" is null as no_max_offset,'
+            ' coalesce(isnan("MaxOffset"), false) as not_a_number'
+            f" from dirty where not coalesce({_KEPT}, false)"
+        ),
         "land_rejects": _select(
             "select concat_ws(',', case when value is null then 'no_value' end,"
             " case when \"MaxOffset\" is null then 'no_max_offset' end,"

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from flightloom import schemas
 from flightloom.operators import preview
-from flightloom.plans import filter_and_route, publish_flight_max, round_trip
+from flightloom.plans import filter_and_route, land_csv, publish_flight_max, round_trip
 from flightloom.session import build_session
-from flightloom.sources import FileTopics, KafkaTopics, Topics, scan, scan_where_in
-from flightloom.streaming import land_topic
+from flightloom.sources import FileTopics, KafkaTopics, Topics, save_table, scan, scan_where_in
+from flightloom.streaming import drain_typed, land_topic
 
-SCHEMAS = {"samples": schemas.SAMPLES, "metadata": schemas.METADATA, "word": schemas.WORD}
+SCHEMAS = {
+    "samples": schemas.SAMPLES,
+    "metadata": schemas.METADATA,
+    "word": schemas.WORD,
+    "result": schemas.RESULT,
+}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -25,6 +30,14 @@ def parser() -> argparse.ArgumentParser:
     where = top.add_mutually_exclusive_group(required=True)
     where.add_argument("--kafka-servers", help="host:port,... of the Kafka brokers")
     where.add_argument("--topic-root", help="shared folder that holds topics as files")
+    for side in ("read", "write"):
+        top.add_argument(
+            f"--{side}-option",
+            action="append",
+            default=[],
+            metavar="NAME=VALUE",
+            help=f"Kafka {side} setting, such as security.protocol or minPartitions; may be repeated",
+        )
     top.add_argument("--rows", type=int, default=20, help="rows to show")
     jobs = top.add_subparsers(dest="job", required=True)
 
@@ -47,6 +60,27 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--metadata", required=True, help="table of metadata")
     job.add_argument("--topic", required=True)
     job.add_argument("--unique-id", type=int, help="left out: all ids")
+    job.add_argument(
+        "--collapse", action="store_true", help="merge samples ahead; for values that repeat"
+    )
+
+    job = jobs.add_parser("land-csv", help="append spooled result rows to a table")
+    job.add_argument("--path", required=True, help="folder of CSV files")
+    job.add_argument("--table", required=True)
+    job.add_argument("--rejects", required=True, help="table of refused rows")
+
+    job = jobs.add_parser("save", help="save a table or view as a new table")
+    job.add_argument("--table", required=True)
+    job.add_argument("--to", required=True)
+    job.add_argument("--location")
+    job.add_argument("--partition", action="append", help="partition column; may be repeated")
+
+    job = jobs.add_parser("drain", help="append what is new in a topic to typed files")
+    job.add_argument("--topic", required=True)
+    job.add_argument("--schema", required=True, choices=sorted(SCHEMAS))
+    job.add_argument("--path", required=True, help="shared folder")
+    job.add_argument("--checkpoint", required=True, help="shared folder")
+    job.add_argument("--stream-option", action="append", default=[], metavar="NAME=VALUE")
 
     job = jobs.add_parser("land", help="land what is new in a result topic")
     job.add_argument("--topic", required=True)
@@ -66,10 +100,19 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def _options(given: list[str]) -> dict[str, str]:
+    return dict(option.split("=", 1) for option in given)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """Runs a job; returns what it shows."""
     topics: Topics = (
-        KafkaTopics(spark, args.kafka_servers, {"isolation.level": "read_committed"})
+        KafkaTopics(
+            spark,
+            args.kafka_servers,
+            {"isolation.level": "read_committed", **_options(args.read_option)},
+            _options(args.write_option),
+        )
         if args.kafka_servers
         else FileTopics(spark, args.topic_root)
     )
@@ -92,9 +135,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
         return list(routed.values())
     if args.job == "flight-max":
         samples, metadata = scan(spark, args.samples), scan(spark, args.metadata)
-        return [publish_flight_max(samples, metadata, topics, args.topic, args.unique_id)]
+        return [
+            publish_flight_max(
+                samples, metadata, topics, args.topic, args.unique_id, args.collapse
+            )
+        ]
+    if args.job == "land-csv":
+        refused = land_csv(spark, args.path, args.table, args.rejects)
+        return [spark.table(args.table), refused]
+    if args.job == "save":
+        save_table(scan(spark, args.table), args.to, args.location, args.partition or [])
+        return [spark.table(args.to)]
+    if args.job == "drain":
+        stream = topics.read_stream(args.topic, **_options(args.stream_option))
+        return [drain_typed(stream, SCHEMAS[args.schema], args.path, args.checkpoint)]
     land_topic(
-        topics.read_stream(args.topic, **dict(o.split("=", 1) for o in args.stream_option)),
+        topics.read_stream(args.topic, **_options(args.stream_option)),
         args.table,
         args.rejects,
         args.staging,

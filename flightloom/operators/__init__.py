@@ -17,7 +17,6 @@ from flightloom.operators.relational import (
     select_columns,
     unique_records,
 )
-from flightloom.operators.spread import spread_small
 
 __all__ = [
     "cast_to",
@@ -33,7 +32,6 @@ __all__ = [
     "reject_non_numeric",
     "rekey",
     "select_columns",
-    "spread_small",
     "unique_records",
     "with_reject_reason",
 ]

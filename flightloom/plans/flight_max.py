@@ -20,14 +20,14 @@ def flight_max_offset(
     samples: DataFrame,
     metadata: DataFrame,
     unique_id: int | None = None,
-    collapse: bool = True,
+    collapse: bool = False,
 ) -> DataFrame:
     """The result for all ids, or for one.
 
-    ``collapse`` merges repeated sample values ahead of the join. The join then
-    shuffles distinct values instead of samples, and a flight with several flight
-    numbers multiplies values instead of samples. Without it one shuffle less is
-    planned, which pays only if values hardly ever repeat within an id.
+    ``collapse`` merges repeated sample values ahead of the join, in one more shuffle.
+    It pays where values repeat often within an id: the join then shuffles distinct
+    values instead of samples, and a flight with several flight numbers multiplies
+    values instead of samples. It forgoes a join without a shuffle of the samples.
     """
     if unique_id is not None:
         samples = equals(samples, "unique_id", unique_id)
@@ -43,7 +43,8 @@ def publish_flight_max(
     topics: Topics,
     topic: str,
     unique_id: int | None = None,
+    collapse: bool = False,
 ) -> DataFrame:
     """Publishes the result, keyed by flight record number, and reads the topic back."""
-    result = flight_max_offset(samples, metadata, unique_id)
+    result = flight_max_offset(samples, metadata, unique_id, collapse)
     return round_trip(result, topics, topic, RESULT, key="adi_flight_record_number")

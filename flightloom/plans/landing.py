@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from flightloom.functions import decode_nested
 from flightloom.operators import (
@@ -17,7 +19,7 @@ from flightloom.schemas import LANDED, REJECTED, RESULT
 from flightloom.sources.csv_files import read_csv
 from flightloom.sources.tables import append_rows, create_table
 
-# Extra last column of tables that are filled drain by drain.
+# Extra last column of tables that are filled part by part: what names the part.
 BATCH = "drain_batch"
 
 
@@ -31,7 +33,7 @@ def create_landing_tables(
     """Both tables, new; fails if one exists."""
     for name, schema in ((table, LANDED), (rejects, REJECTED)):
         if by_batch:
-            schema = StructType([*schema.fields, StructField(BATCH, LongType())])
+            schema = StructType([*schema.fields, StructField(BATCH, StringType())])
         create_table(
             spark,
             name,
@@ -71,23 +73,58 @@ def refused_rows(staged: DataFrame) -> DataFrame:
     return staged.where(F.col("reject_reason").isNotNull()).select("reject_reason", "record.*")
 
 
-def land_batch(records: DataFrame, table: str, rejects: str, staging: str) -> None:
-    """Appends records to the landing tables, which exist, in two bulk inserts.
+def clear_staging(spark: SparkSession, path: str) -> None:
+    """Leaves an empty table where rows were staged."""
+    empty = spark.createDataFrame([], staged_rows(spark, path).schema)
+    empty.write.mode("overwrite").parquet(path)
+
+
+def replace_part(rows: DataFrame, table: str, part: str | int) -> None:
+    """Fills one part of a table, replacing what a failed try left there."""
+    spark = rows.sparkSession
+    columns = [c for c in spark.table(table).columns if c != BATCH]
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", str(part)):
+        raise ValueError(f"not a name for a part: {part!r}")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE IDENTIFIER(:table) PARTITION ({BATCH} = '{part}') "
+        f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}",
+        args={"table": table},
+        rows=rows,
+    )
+
 
-    Every record but tombstones ends in exactly one of the tables.
+def land_batch(
+    records: DataFrame, table: str, rejects: str, staging: str, load: str | None = None
+) -> None:
+    """Lands records in the landing tables, which exist, in two bulk inserts.
+
+    Every record but tombstones ends in exactly one of the tables. ``load`` names this
+    load; tables made with ``by_batch`` hold it as a part, so a load that died is run again
+    under its name and leaves no row twice. Without a name rows are appended, and a load
+    that died between the two inserts must not be run again.
     """
     stage(records, staging)
     staged = staged_rows(records.sparkSession, staging)
-    append_rows(kept_rows(staged), table)
-    append_rows(refused_rows(staged), rejects)
-
-
-def land_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    if load is None:
+        append_rows(kept_rows(staged), table)
+        append_rows(refused_rows(staged), rejects)
+    else:
+        replace_part(kept_rows(staged), table, load)
+        replace_part(refused_rows(staged), rejects, load)
+    clear_staging(records.sparkSession, staging)
+
+
+def land_csv(
+    spark: SparkSession, path: str, table: str, rejects: str | None = None
+) -> DataFrame:
     """Appends result rows spooled as CSV to a table, which exists; returns the refused.
 
-    Rows are refused unless all four numbers are there.
+    Rows are refused unless all four numbers are there. Refused rows are appended to the
+    table ``rejects``, which has the columns of a result, if it is named.
     """
     numbers = ("value", "MaxOffset", "ems_system_id", "adi_flight_record_number")
     kept, refused = reject_non_numeric(read_csv(spark, path, RESULT), numbers)
     append_rows(cast_to(kept, LANDED), table)
+    if rejects is not None:
+        append_rows(refused, rejects)
     return refused

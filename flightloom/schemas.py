@@ -58,7 +58,7 @@ LANDED = _struct(
 
 # What Spark's Kafka source returns.
 RECORD = _struct(
-    """key binary, value binary, topic string, partition int, offset bigint,
+    """key binary, value binary, topic string, partition string, offset bigint,
        timestamp timestamp, timestampType int"""
 )
 
@@ -67,6 +67,6 @@ MESSAGE = _struct("value string, timestamp timestamp")
 
 # Where a record that could not be landed came from, and why.
 REJECTED = _struct(
-    """reject_reason string, topic string, partition int, offset bigint,
+    """reject_reason string, topic string, partition string, offset bigint,
        timestamp timestamp, payload string"""
 )

@@ -7,17 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+
 def settings(shuffle_bytes: int | None = None) -> dict[str, str]:
     """SQL settings the jobs are designed for.
 
-    ``shuffle_bytes`` is the expected size of the largest shuffle. The initial
-    number of shuffle partitions follows from it (128 MB each, so that one sorts
-    in memory); AQE then merges what turns out small and splits what is skewed.
+    Shuffles start with many partitions, of which AQE merges those that turn out small.
+    ``shuffle_bytes`` is the expected size of the largest shuffle, for more than some
+    200 GB: the initial number then follows from it (128 MB each, so that one sorts in
+    memory).
     """
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
@@ -43,7 +46,10 @@ def build_session(
         builder = builder.master(master)
     if hive:
         builder = builder.enableHiveSupport()
-    for key, value in {**settings(shuffle_bytes), **(extra or {})}.items():
+    conf = settings(shuffle_bytes)
+    if "spark.sql.shuffle.partitions" in (extra or {}):
+        conf.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    for key, value in {**conf, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

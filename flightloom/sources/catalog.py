@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flightloom.operators import equals, in_periods
@@ -35,6 +36,19 @@ def scan_where_in(
     return df if limit is None else df.limit(limit)
 
 
-def inline_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
-    """A few literal rows with a declared schema."""
-    return spark.createDataFrame(list(rows), schema)
+def inline_rows(
+    spark: SparkSession, rows: Iterable[tuple], schema: StructType | str
+) -> DataFrame:
+    """A few literal rows with a declared schema.
+
+    They are literals of the plan, so their size is known and a join with a large table
+    sends them to it, whatever the table's size.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    structs = [
+        F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(row, schema)])
+        for row in rows
+    ]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))

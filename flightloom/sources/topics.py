@@ -7,7 +7,6 @@ again appends its records again, and a batch read returns the whole topic.
 
 from __future__ import annotations
 
-import random
 import re
 import uuid
 import warnings
@@ -42,6 +41,11 @@ def _key_and_value(records: DataFrame) -> DataFrame:
     )
 
 
+def _named_parts(records: DataFrame) -> DataFrame:
+    """The connector's columns with the partition as text, as ``schemas.RECORD`` has it."""
+    return records.withColumn("partition", F.col("partition").cast("string"))
+
+
 class KafkaTopics:
     """Topics of a Kafka cluster; needs the Spark Kafka connector on the class path."""
 
@@ -101,7 +105,7 @@ class KafkaTopics:
 
     def read(self, *topics: str) -> DataFrame:
         options = self.source_options(*topics)
-        return self.spark.read.format("kafka").options(**options).load()
+        return _named_parts(self.spark.read.format("kafka").options(**options).load())
 
     def read_stream(self, *topics: str, **options: str) -> DataFrame:
         options = {
@@ -109,16 +113,16 @@ class KafkaTopics:
             **self.source_options(*topics),
             **self.connector_options(options),
         }
-        return self.spark.readStream.format("kafka").options(**options).load()
+        return _named_parts(self.spark.readStream.format("kafka").options(**options).load())
 
 
 class FileTopics:
     """Topics as parquet files below a folder that all executors share.
 
-    Layout: ``<root>/topic=<name>/partition=<n>/*.parquet``. Every publish claims an
-    ``n`` for itself, and numbers its rows without a shuffle, so
-    ``(topic, partition, offset)`` is unique, though offsets have gaps. Readers list only
-    the folders of the topics they name.
+    Layout: ``<root>/topic=<name>/partition=<publish>/*.parquet``. Every publish has a
+    fresh name, and numbers its rows without a shuffle, so ``(topic, partition, offset)``
+    is unique, though offsets have gaps. Readers list only the folders of the topics they
+    name; the driver lists one folder per publish.
     """
 
     _STORED = StructType([f for f in RECORD if f.name not in ("topic", "partition")])
@@ -132,25 +136,6 @@ class FileTopics:
             raise ValueError(f"not a topic name: {topic!r}")
         return f"{self.root}/topic={topic}"
 
-    def _claim_partition(self, topics: tuple[str, ...]) -> int:
-        """A partition number no other publish uses.
-
-        A publish draws a number, files a claim in the number's folder, and then looks who
-        else did. Of two, the later one to file sees the earlier, so a number without
-        rivals is safe; any other is drawn anew. Claims stay, so no number comes twice.
-        """
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        for topic in topics:
-            files.mkdirs(path(self._folder(topic)))
-        while True:
-            number = random.randrange(2**31)
-            claims = path(f"{self.root}/_claims/{number}")
-            files.create(path(claims, uuid.uuid4().hex), False).close()
-            if len(files.listStatus(claims)) == 1:
-                return number
-
     def publish(self, records: DataFrame, *topics: str) -> None:
         _named(topics)
         rows = _key_and_value(records).select(
@@ -160,10 +145,10 @@ class FileTopics:
             F.current_timestamp().alias("timestamp"),
             F.lit(0).alias("timestampType"),
         )
-        # Each topic has a folder of its own, so that publishers cannot meet in one; the
-        # further ones are copied from the first, so that the source is read once.
-        number = self._claim_partition(topics)
-        first, *others = [f"{self._folder(topic)}/partition={number}" for topic in topics]
+        # A folder of its own, so that publishers cannot meet in one. Further topics are
+        # copied from the first, so that the source is read once.
+        name = uuid.uuid4().hex
+        first, *others = [f"{self._folder(topic)}/partition={name}" for topic in topics]
         self._write(rows, first)
         for other in others:
             self._write(self.spark.read.schema(self._STORED).parquet(first), other)
@@ -192,11 +177,14 @@ class FileTopics:
         return result
 
     def _stream(self, topic: str, options: dict[str, str]) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(topic))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
+        # A stream needs its folder; nothing is written if there is one already.
         stored = StructType([*self._STORED.fields, RECORD["partition"]])
+        empty = self.spark.createDataFrame([], self._STORED)
+        empty.write.mode("ignore").parquet(f"{self._folder(topic)}/partition=none")
         return (
             self.spark.readStream.schema(stored)
+            # Else files a week older than the newest one would be passed over.
+            .option("maxFileAge", "36500d")
             .options(**options)
             .parquet(self._folder(topic))
             .withColumn("topic", F.lit(topic))

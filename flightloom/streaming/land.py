@@ -5,25 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flightloom.plans.landing import (
-    BATCH,
+    clear_staging,
     create_landing_tables,
     kept_rows,
     refused_rows,
+    replace_part,
     stage,
     staged_rows,
 )
 
 
-def _replace_batch(rows: DataFrame, table: str, batch: int) -> None:
-    """Fills one batch's partition of a table, replacing what a failed try left there."""
-    spark = rows.sparkSession
-    columns = [c for c in spark.table(table).columns if c != BATCH]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE IDENTIFIER(:table) PARTITION ({BATCH} = {int(batch)}) "
-        f"SELECT {', '.join(f'`{c}`' for c in columns)} FROM {{rows}}",
-        args={"table": table},
-        rows=rows,
-    )
+_replace_batch = replace_part
 
 
 def land_topic(
@@ -37,20 +29,25 @@ def land_topic(
 ) -> None:
     """Lands what the stream has not delivered yet in two tables, and returns.
 
-    Tables carry the batch number as last column and partition. A batch that is
-    tried again writes the same partition again, so landing is exactly-once. With
-    ``create`` the tables must not exist yet; later drains pass ``create=False``.
+    Tables carry the name of the batch, made of the query's id and the batch number, as
+    last column and partition. The id stays with the checkpoint, so a batch that is tried
+    again writes its own partition again, and other topics or checkpoints never write it.
+    A new checkpoint lands the topic once more. With ``create`` the tables must not exist
+    yet; later drains pass ``create=False``.
     """
     spark: SparkSession = stream.sparkSession
     if create:
         create_landing_tables(spark, table, rejects, location, by_batch=True)
 
     def land(batch: DataFrame, number: int) -> None:
-        path = f"{staging}/{BATCH}={number}"
+        # Spark sets the id, which a restart on the same checkpoint keeps.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        path = f"{staging}/{query_id}"
         stage(batch, path)
         staged = staged_rows(batch.sparkSession, path)
-        _replace_batch(kept_rows(staged), table, number)
-        _replace_batch(refused_rows(staged), rejects, number)
+        _replace_batch(kept_rows(staged), table, f"{query_id}-{number}")
+        _replace_batch(refused_rows(staged), rejects, f"{query_id}-{number}")
+        clear_staging(batch.sparkSession, path)
 
     query = (
         stream.writeStream.foreachBatch(land)

@@ -4,27 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql.types import StructType
 
-from flightloom.operators import spread_small
 from flightloom.schemas import METADATA, SAMPLES, WORD
 
-# Schemas of files read before, so that each is inferred by one job only.
-_seen: dict[str, StructType] = {}
-
-
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    if path not in _seen:
-        _seen[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_seen[path]).parquet(path)
-
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
-def samples(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
-    """One sample per order line.
 
-    ``spread`` is for work bound by CPU: each test file is one row group, so one task.
-    """
+def samples(spark: SparkSession, folder: str) -> DataFrame:
+    """One sample per order line."""
     lines = _table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_extendedprice",
@@ -35,8 +23,7 @@ def samples(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame
         "l_linenumber",
     )
     return (
-        (spread_small(lines) if spread else lines)
-        .selectExpr(
+        lines.selectExpr(
             "l_orderkey as unique_id",
             "l_extendedprice as offset",
             "cast(l_quantity as bigint) as value",
@@ -50,13 +37,13 @@ def samples(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame
     )
 
 
-def metadata(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+def metadata(spark: SparkSession, folder: str) -> DataFrame:
     """One flight per order, and a second, equal row for each third order.
 
     The copies are what a repeated ingestion leaves; they give deduplication work.
     """
     orders = _table(spark, folder, "orders")
-    orders = (spread_small(orders) if spread else orders).selectExpr(
+    orders = orders.selectExpr(
         "*", "explode(sequence(1, if(o_orderkey % 3 = 0, 2, 1))) as copy"
     )
     customer = _table(spark, folder, "customer")

@@ -9,11 +9,10 @@ from flightloom.operators import (
     in_periods,
     max_offset,
     rekey,
-    spread_small,
     unique_records,
 )
 from flightloom.plans import flight_max_offset
-from flightloom.schemas import METADATA, SAMPLES
+from flightloom.schemas import METADATA, SAMPLES, WORD
 from flightloom.sources import inline_rows, save_table, scan, scan_where_in
 from tests.util import plan, rows
 
@@ -220,8 +219,11 @@ def test_unique_records_drops_only_reread_ones(spark):
     assert unique_records(df).count() == 2
 
 
-def test_spread_keeps_rows_and_leaves_large_inputs(spark):
-    small = spark.range(10)
-    assert rows(spread_small(small)) == rows(small)
-    large = spark.range(10**12)
-    assert spread_small(large) is large
+def test_inline_rows_are_sent_to_the_large_table(spark):
+    """Their size is known, so the large side is neither shuffled nor sorted."""
+    words = inline_rows(spark, [(8, "kite"), (9, "otter")], WORD)
+    large = spark.range(10**9).selectExpr("cast(id as int) as unique_id", "id as value")
+    text = plan(large.join(words, "unique_id"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert rows(words) == [(8, "kite"), (9, "otter")]
+    assert inline_rows(spark, [], WORD).count() == 0

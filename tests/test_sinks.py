@@ -278,3 +278,78 @@ def test_topic_maximum_equals_batch_maximum(spark, path):
     topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
     out = drain_typed(topics.read_stream("r"), RESULT, path("out"), path("pos"))
     assert out.agg(F.max("MaxOffset")).first()[0] == 4.0
+
+
+def test_two_topics_land_in_the_same_tables(spark, path):
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "a")
+    topics.publish(encode(result(spark, GOOD[:1]), "adi_flight_record_number"), "b")
+    topics.publish(payloads(spark, DIRTY), "b")
+
+    def land(topic, position, create):
+        land_topic(
+            topics.read_stream(topic), "ok_2", "bad_2", path("staging"), path(position),
+            create=create, location=path("tables"),
+        )
+
+    land("a", "pos_a", True)
+    land("b", "pos_b", False)
+    assert rows(spark.table("ok_2").select(*LANDED.names)) == landed(GOOD + GOOD[:1])
+    assert spark.table("bad_2").count() == len(DIRTY)
+    # A new checkpoint lands the topic once more, and takes nothing away.
+    land("a", "pos_new", False)
+    assert rows(spark.table("ok_2").select(*LANDED.names)) == landed(GOOD * 2 + GOOD[:1])
+
+
+def test_a_load_that_dies_is_whole_and_single_after_a_retry(spark, path, monkeypatch):
+    from flightloom.plans import landing
+
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
+    topics.publish(payloads(spark, DIRTY), "r")
+    create_landing_tables(spark, "ok_l", "bad_l", path("tables"), by_batch=True)
+    real = landing.replace_part
+
+    def dies(df, table, part):
+        if table == "bad_l":
+            raise OSError("lost")
+        real(df, table, part)
+
+    def load():
+        land_batch(topics.read("r"), "ok_l", "bad_l", path("staging"), load="monday")
+
+    monkeypatch.setattr(landing, "replace_part", dies)
+    with pytest.raises(OSError):
+        load()
+    monkeypatch.setattr(landing, "replace_part", real)
+    load()
+    assert rows(spark.table("ok_l").select(*LANDED.names)) == landed(GOOD)
+    assert spark.table("bad_l").count() == len(DIRTY)
+    assert staged_rows(spark, path("staging")).count() == 0
+
+
+def test_drain_takes_files_of_any_age(spark, path):
+    import os
+    import time
+    from pathlib import Path
+
+    topics = FileTopics(spark, path("topics"))
+    drained = lambda: drain_typed(topics.read_stream("r"), RESULT, path("out"), path("pos"))
+    topics.publish(payloads(spark, ["{}"] * 5), "r")
+    assert drained().count() == 5
+    before = set(Path(path("topics")).rglob("*.parquet"))
+    topics.publish(payloads(spark, ["{}"] * 6), "r")
+    old = time.time() - 8 * 86400
+    for file in set(Path(path("topics")).rglob("*.parquet")) - before:
+        os.utime(file, (old, old))
+    assert drained().count() == 11
+
+
+def test_csv_landing_stores_refused_rows(spark, path):
+    bad = [(None, 1, "p", 1, 1.0), (1, 1, "p", 1, NAN)]
+    write_csv(result(spark, GOOD + bad), path("csv"))
+    create_table(spark, "ok_c2", LANDED, path("ok_c2"))
+    create_table(spark, "bad_c2", RESULT, path("bad_c2"))
+    land_csv(spark, path("csv"), "ok_c2", "bad_c2")
+    assert rows(spark.table("ok_c2")) == landed(GOOD)
+    assert rows(spark.table("bad_c2")) == rows(result(spark, bad))
