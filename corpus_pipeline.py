@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flightloom.llm import (
     line_dedup,
@@ -39,11 +38,7 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document that loses lines gets its new number of characters."""
-    cut = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
-    if "n_chars" in docs.columns:
-        n = F.when(F.col("_dropped") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

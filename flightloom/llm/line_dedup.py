@@ -197,8 +197,14 @@ def without_lines(text: str, bitmap: bytes | None) -> str:
     return "\n".join([line for line, stays in zip(lines, keep) if stays])
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``text`` cut to the lines that stay, and ``_dropped``."""
+def apply_bitmaps(
+    docs: DataFrame, bitmaps: DataFrame, count_as: str | None = None
+) -> DataFrame:
+    """All columns of ``docs`` with ``text`` cut to the lines that stay.
+
+    ``n_chars``, where there is one, follows the text of documents that lose lines.
+    ``count_as`` names a further column for how many a document loses.
+    """
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
@@ -211,8 +217,11 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     joined = left.join(bitmaps, key, "left")
     whole = F.coalesce("_row.text", F.lit(""))
     kept = F.when(F.col("bitmap").isNull(), F.col("_row.text")).otherwise(cut(whole, "bitmap"))
-    columns = [
-        kept.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in names
-    ]
-    dropped = F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("_dropped")
-    return joined.select(*columns, dropped)
+    found = {c: F.col("_row").getField(c) for c in names} | {"text": kept}
+    if "n_chars" in names:
+        n = F.when(F.col("bitmap").isNotNull(), F.char_length(kept)).otherwise(found["n_chars"])
+        found["n_chars"] = n.cast(docs.schema["n_chars"].dataType)
+    columns = [column.alias(c) for c, column in found.items()]
+    if count_as:
+        columns.append(F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias(count_as))
+    return joined.select(*columns)

@@ -71,13 +71,12 @@ def op5_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    cut = line_dedup.apply_bitmaps(
-        docs.withColumn("n_lines", line_dedup.count_lines("text")), line_dedup.keep_bitmaps(docs)
-    )
+    counted = docs.withColumn("n_lines", line_dedup.count_lines("text"))
+    cut = line_dedup.apply_bitmaps(counted, line_dedup.keep_bitmaps(docs), "n_dropped")
     return cut.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "n_lines",
-        F.col("_dropped").alias("n_dropped"),
+        "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
