@@ -31,7 +31,9 @@ SIZE = 1024
 END = 2
 # Rows of one length are numbered in so many parts, so that a hot length is split.
 PARTS = 64
-# Fixed pattern of the tokenizer family that the vocabulary belongs to.
+# Fixed values of the tokenizer family that the vocabulary belongs to: the pattern that cuts
+# texts, and the added token, which has its own id wherever a text spells it out.
+SPECIAL = {"<|endoftext|>": 50256}
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -42,11 +44,11 @@ def _encoder(path: str) -> tiktoken.Encoding:
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines)}
-    return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def token_ids(text: str, path: str) -> array:
-    ids = array("I", _encoder(path).encode_ordinary(text))
+    ids = array("I", _encoder(path).encode(text, allowed_special="all"))
     ids.append(END)
     return ids
 

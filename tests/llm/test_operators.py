@@ -260,6 +260,18 @@ def test_sentencepiece_equals_the_library(spark, odd):
     assert {r.decoded for r in both.collect()} >= {"one", "Two words"}
 
 
+def test_ids_of_texts_that_spell_out_special_tokens():
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    odds = [end, f"a {end} b", f"{end}{end}", f"  {end}\n\n {end} ", "<|endoftext", f"é{end}'s 🙂"]
+    rng = random.Random(2)
+    odds += ["".join(rng.choice([end, " ", "ab", "'s", "\n", "12", "é", "<|"]) for _ in range(9))
+             for _ in range(300)]
+    for text in odds:
+        ids = tokens.encode(text, add_special_tokens=False).ids + [2]
+        assert list(packing.token_ids(text, BYTES)) == ids, text
+
+
 def test_packing_places_every_piece_once(spark, odd):
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = packing.pack_documents(odd, BYTES).collect()
