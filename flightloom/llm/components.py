@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.texts import written
+from flightloom.llm.texts import with_totals, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("low"))
     low = F.least("low", "a")
     return (
-        both.join(least, "a")
+        with_totals(both, least, "a")
         .filter(F.col("b") > F.col("a"))
         .select(F.col("b").alias("a"), low.alias("b"))
         .distinct()
@@ -25,7 +25,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Hangs a node and its smaller neighbours on the smallest of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("low"))
-    joined = down.join(least, "a").filter(F.col("b") > F.col("low")).select("b", "low")
+    joined = with_totals(down, least, "a").filter(F.col("b") > F.col("low")).select("b", "low")
     return joined.toDF("a", "b").union(least.toDF("a", "b")).distinct()
 
 

@@ -36,6 +36,7 @@ from flightloom.llm.texts import (
     mix,
     sliced,
     window_hashes,
+    with_totals,
     word_hashes,
     written,
 )
@@ -216,7 +217,7 @@ def candidate_edges(
     for level in range(1, levels + 1):
         rows = written(rows, "nodes")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        shared = written(rows.join(sizes, "node"), "shared")
+        shared = written(with_totals(rows, sizes, "node"), "shared")
         small = shared.filter(F.col("size") <= node_size).join(reps, "rep")
         found = (
             small.select("node", "rep", "signature")
@@ -228,7 +229,8 @@ def candidate_edges(
         crowded = shared.filter(F.col("size") > node_size)
         if level == levels:
             heads = crowded.groupBy("node").agg(F.min("rep").alias("a"))
-            edges = edges.union(crowded.join(heads, "node").select("a", F.col("rep").alias("b")))
+            last = with_totals(crowded, heads, "node")
+            edges = edges.union(last.select("a", F.col("rep").alias("b")))
         elif not crowded.take(1):
             break
         rows = crowded.join(reps, "rep").select("rep", "node", "signature")
@@ -307,7 +309,7 @@ def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int) -> DataFra
         ).cast("int").alias("blocks")
     )
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = groups.join(size, "grp").select("grp", "rep", "blocks", block.alias("block"))
+    members = with_totals(groups, size, "grp").select("grp", "rep", "blocks", block.alias("block"))
     texts = id_and_text(docs).join(
         members.select("grp", "rep").distinct(), F.col("doc_id") == F.col("rep")
     )

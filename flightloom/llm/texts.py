@@ -43,6 +43,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def with_totals(rows: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+    """The inner join of ``rows`` and ``totals``, an aggregate by ``key``; hot keys are split.
+
+    Spark splits the rows of a hot key if both sides are shuffled for the join. An aggregate
+    lies by its key already and would not be, hence a second key that says the same.
+    """
+    again = F.xxhash64(key)
+    left, right = rows.withColumn("_again", again), totals.withColumn("_again", again)
+    return left.join(right, [key, "_again"]).drop("_again")
+
+
 def hash_sample(ids: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows, those with the least hashes of ``doc_id``; repeatable.
 
