@@ -22,7 +22,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flightloom.llm.texts import written
+from flightloom.llm.texts import with_totals, written
 
 TERM = 5
 BITS = 64
@@ -206,15 +206,19 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     following = pair.select(
         *[F.col(c).alias(f"next_{c}") for c in _KEY], F.col("own").alias("next_own")
     )
-    asked = pair.filter("known = 1 and doc % 50 = 0").select(F.col("own").alias("bits"))
-    copies = pair.groupBy(F.col("own").alias("found")).agg(F.sum("copies").alias("of"))
-    found = near(asked, pair.select(F.col("own").alias("bits")), radius).join(copies, "found")
-    found = found.groupBy("query").agg(F.sum("of").alias("n_near"))
+    # Neither column is NULL here.
     is_query = (F.col("known") == 1) & (F.col("doc") % 50 == 0)
+    asked = pair.filter(is_query)
+    copies = pair.groupBy(F.col("own").alias("found")).agg(F.sum("copies").alias("of"))
+    bits = F.col("own").alias("bits")
+    found = with_totals(near(asked.select(bits), pair.select(bits), radius), copies, "found")
+    found = found.groupBy(F.col("query").alias("own")).agg(F.sum("of").alias("n_near"))
+    # A query finds itself at least; what isn't one needs no join.
+    other = pair.filter(~is_query).withColumn("n_near", F.lit(None).cast("bigint"))
     return (
-        pair.join(following, [f"next_{c}" for c in _KEY])
-        .withColumn("query", F.when(is_query, F.col("own")))
-        .join(found, "query", "left")
+        with_totals(asked, found, "own")
+        .unionByName(other)
+        .join(following, [f"next_{c}" for c in _KEY])
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select(
             F.when(F.col("known") == 1, F.col("doc")).alias("doc_id"),
