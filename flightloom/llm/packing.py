@@ -12,6 +12,7 @@ one, so repeated rows and NULL ids each get places. An empty table gives no piec
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,18 +38,40 @@ SPECIAL = {"<|endoftext|>": 50256}
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+# The pattern keeps a step per blank of a run and breaks at a million of them. Longer texts are
+# looked through for such runs; the blanks are all characters of Unicode's White_Space.
+LONG = 100_000
+_BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> tiktoken.Encoding:
-    """The byte-level vocabulary from its file of base64 tokens and ranks."""
+def _encoders(path: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
+    """The byte-level vocabulary from its file of base64 tokens and ranks; the second encoder
+    takes its text as one word."""
     import base64
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in lines)}
-    return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-
-
-def token_ids(text: str, path: str) -> array:
-    ids = array("I", _encoder(path).encode(text, allowed_special="all"))
+    names = {"mergeable_ranks": ranks, "special_tokens": SPECIAL}
+    return (
+        tiktoken.Encoding("bytes", pat_str=PATTERN, **names),
+        tiktoken.Encoding("one-word", pat_str=r"(?s:.+)", **names),
+    )
+
+
+def token_ids(text: str, path: str, long: int = LONG) -> array:
+    encoder, whole = _encoders(path)
+    ids, at = array("I"), 0
+    if len(text) >= long:
+        # A run is one word, but for its last blank if a word follows: that goes with the word.
+        for run in re.finditer(f"[{_BLANKS}]{{{long},}}", text):
+            rest = run.end()
+            if rest < len(text) and not text.startswith(tuple(SPECIAL), rest):
+                rest -= 1
+            ids.extend(encoder.encode(text[at : run.start()], allowed_special="all"))
+            ids.extend(whole.encode(text[run.start() : rest], disallowed_special=()))
+            at = rest
+    ids.extend(encoder.encode(text[at:], allowed_special="all"))
     ids.append(END)
     return ids
 

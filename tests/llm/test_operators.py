@@ -272,6 +272,20 @@ def test_ids_of_texts_that_spell_out_special_tokens():
         assert list(packing.token_ids(text, BYTES)) == ids, text
 
 
+def test_ids_of_texts_with_very_long_runs():
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    blanks, rng = " \n\t\r\x0b\x0c\x85\xa0\u2003\u3000", random.Random(5)
+    odds = ["".join(rng.choice([" ", " ", *blanks, "ab", "'s", "1", "é", "<|endoftext|>", "\x1c"])
+                    for _ in range(40)) for _ in range(400)]
+    for text in [*odds, "  ", "x   ", "   <|endoftext|>   y"]:
+        ids = tokens.encode(text, add_special_tokens=False).ids + [2]
+        assert list(packing.token_ids(text, BYTES, long=2)) == ids, text
+    many = 1_500_000
+    for text in (" " * many + "a", "b" + "\n" * many, "a" * many, "é" * many, "1" * many, "#" * many):
+        ids = tokens.encode(text, add_special_tokens=False).ids + [2]
+        assert list(packing.token_ids(text, BYTES)) == ids, text[:9]
+
+
 def test_packing_places_every_piece_once(spark, odd):
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = packing.pack_documents(odd, BYTES).collect()
