@@ -110,7 +110,9 @@ def near(
         return each.select(F.col("bits").alias(name), "k.t", "k.block")
 
     close = F.bit_count(F.col("query").bitwiseXOR(F.col("found"))) <= radius
-    met = tables(queries, "query").join(tables(index, "found"), ["t", "block"]).filter(close)
+    # Spark doesn't count that a table has many rows per fingerprint, and would broadcast it.
+    asked = tables(queries, "query").hint("merge")
+    met = asked.join(tables(index, "found"), ["t", "block"]).filter(close)
     return met.select("query", "found").distinct()
 
 
