@@ -22,6 +22,9 @@ from flightloom.llm.texts import remainder, table, written
 POLICY = "v2"
 # Documents less likely good than this go.
 LEAST_QUALITY = 0.3
+# Word shingles this alike are near copies; op5's contract has a threshold of its own. As many
+# trees as keep the chance to miss a pair at the threshold at 1e-4.
+NEAR_PERCENT, NEAR_TREES = 80, 14
 
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents linked to one with a smaller id go."""
-    gone = minhash_dedup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
+    found = minhash_dedup.near_duplicates(docs, percent=NEAR_PERCENT, trees=NEAR_TREES)
+    gone = found.filter("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

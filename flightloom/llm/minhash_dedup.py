@@ -44,8 +44,8 @@ from flightloom.llm.texts import (
 SHINGLE = 5
 PERCENT = 85
 SIGNATURE = 64
-# Pairs below this estimate can't be at the threshold: 4.5 standard deviations off.
-CANDIDATE = 0.65
+# Pairs whose estimate is so many standard deviations off can't be at the threshold.
+DEVIATIONS = 4.5
 TREES, LEVELS, NODE = 12, 6, 256
 # Blocks of a large group: most members, and most shingles in all.
 BLOCK, BLOCK_SHINGLES = 512, 400_000
@@ -211,7 +211,8 @@ def candidate_edges(
 
     ``reps`` is a written table (rep, signature), one row per class.
     """
-    candidate = CANDIDATE - (PERCENT - percent) / 100
+    share = percent / 100
+    candidate = share - DEVIATIONS * (share * (1 - share) / SIGNATURE) ** 0.5
     rows = reps.select("rep", "signature").mapInArrow(_roots(trees, percent), _NODES)
     edges = None
     for level in range(1, levels + 1):

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from flightloom.llm import queries
-from tests.llm.test_operators import ODD, documents, labelled
+from tests.llm.test_operators import ODD, documents, labelled, shingle_set
 from tests.test_oracle import normal
 
 FOLDER = "/root/testdata/sf0.01"
@@ -75,6 +75,26 @@ def test_pipeline_stages(spark, path):
         assert stage(spark, nothing, path("t")).count() == 0
 
 
+def test_pipeline_drops_near_copies_of_four_fifths(spark):
+    """Pairs on both sides of 0.80 and between it and 0.85, against brute force."""
+    rng = random.Random(9)
+    texts = []
+    for at in range(40):
+        words = [f"p{at}x{k}" for k in range(200)]
+        # Each change far from the others takes five shingles of 196 away.
+        changed = words.copy()
+        for k in rng.sample(range(4, 196, 6), 2 + at % 8):
+            changed[k] = f"q{at}x{k}"
+        texts += [" ".join(words), " ".join(changed)]
+    sets = [shingle_set(t) for t in texts]
+    likeness = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert sum(0.8 <= x < 0.85 for x in likeness) >= 5 and min(likeness) < 0.8
+    docs = documents(spark, texts)
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, FOLDER)
+    expected = {2 * i for i in range(40)} | {2 * i + 1 for i in range(40) if likeness[i] < 0.8}
+    assert {r.doc_id for r in kept.collect()} == expected
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert rows and max(r.offset + r.length for r in rows) <= 1024
