@@ -19,7 +19,7 @@ from flightloom.llm import (
 )
 from flightloom.llm.texts import remainder, table, written
 
-POLICY = "v2"
+POLICY = "v3"
 # Documents less likely good than this go.
 LEAST_QUALITY = 0.3
 # Word shingles this alike are near copies; op5's contract has a threshold of its own. As many

@@ -29,16 +29,25 @@ RULES = (
     "upper_case",
     "word_length",
     "few_distinct_words",
+    "few_distinct_in_windows",
 )
 BASE = ("few_words", "repeated_windows")
-# A policy rejects a document that fails one of its rules.
-POLICIES = {"base": BASE, "v1": (*BASE, "symbols", "duplicate_lines"), "v2": RULES}
+# A policy rejects a document that fails one of its rules. The share of distinct words in a whole
+# text falls with its length, so v3 has the one in windows in its place.
+POLICIES = {
+    "base": BASE,
+    "v1": (*BASE, "symbols", "duplicate_lines"),
+    "v2": RULES[:7],
+    "v3": (*RULES[:6], "few_distinct_in_windows"),
+}
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _SPACES = b" \t\n\x0b\x0c\r"
 WINDOW = 8
+# Words in a window that distinct words are counted in.
+DISTINCT_WINDOW = 1000
 
 MEASURES = (
     "n_words",
@@ -50,6 +59,7 @@ MEASURES = (
     "n_upper",
     "n_letters",
     "n_distinct_words",
+    "n_window_distinct",
 )
 
 
@@ -73,6 +83,12 @@ def repeated_words(words: list[bytes]) -> int:
     return int(np.count_nonzero(np.cumsum(steps[:-1])))
 
 
+def window_distinct(words: list[bytes]) -> int:
+    """Distinct words of each window, the last one maybe shorter, added up."""
+    starts = range(0, len(words), DISTINCT_WINDOW)
+    return sum(len(set(words[at : at + DISTINCT_WINDOW])) for at in starts)
+
+
 def _count(text: bytes, of: bytes) -> int:
     return len(text) - len(text.translate(None, of))
 
@@ -92,6 +108,7 @@ def measure(text: bytes) -> dict[str, int]:
         "n_upper": upper,
         "n_letters": upper + _count(text, _LOWER),
         "n_distinct_words": len(set(words)),
+        "n_window_distinct": window_distinct(words),
     }
 
 
@@ -106,6 +123,7 @@ def failures(m: dict[str, int]) -> int:
         100 * m["n_upper"] > 50 * m["n_letters"],
         not 2 * n <= m["word_chars"] <= 20 * n,
         n >= 50 and 100 * m["n_distinct_words"] < 20 * n,
+        n >= 50 and 100 * m["n_window_distinct"] < 20 * n,
     )
     return sum(1 << bit for bit, bad in enumerate(failed) if bad)
 

@@ -28,7 +28,7 @@ URL_RULES = [
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 ]
-RULES_POLICY = "v2"
+RULES_POLICY = "v3"
 
 
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:

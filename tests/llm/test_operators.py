@@ -13,6 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from flightloom.llm import (
     class_lm,
     line_dedup,
@@ -20,6 +21,7 @@ from flightloom.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    queries,
     sentencepiece_bpe,
     simhash,
     toxicity,
@@ -234,6 +236,25 @@ def test_policies_and_ablation_use_the_bits(spark, odd):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.kept}
 
 
+def test_rules_keep_a_long_clean_text(spark):
+    """200,000 words as natural text has them: new words get rarer; and junk of that length."""
+    rng = np.random.default_rng(7)
+    ranks = np.minimum(rng.zipf(1.25, 200_000), 30_000)
+    clean = [f"word{r}" for r in ranks]
+    assert len(set(clean)) < 0.2 * len(clean)
+    junk = [f"w{k}" for k in rng.integers(0, 150, 200_000)]
+    docs = documents(spark, [" ".join(clean), " ".join(junk), " ".join(clean[:900])])
+    policy = queries.RULES_POLICY
+    rows = quality_rules.apply_policy(quality_rules.ledger(docs), policy).collect()
+    assert {r.doc_id: r.kept for r in rows} == {0: True, 1: False, 2: True}
+    kept = quality_rules.keep_documents(docs, corpus_pipeline.POLICY)
+    assert {r.doc_id for r in kept.collect()} == {0, 2}
+    by_id = {r.doc_id: r for r in rows}
+    for i, words in enumerate((clean, junk, clean[:900])):
+        parts = [words[at : at + 1000] for at in range(0, len(words), 1000)]
+        assert by_id[i].n_window_distinct == sum(len(set(p)) for p in parts)
+
+
 # --- tokens ------------------------------------------------------------------------
 
 
