@@ -95,6 +95,20 @@ def test_pipeline_drops_near_copies_of_four_fifths(spark):
     assert {r.doc_id for r in kept.collect()} == expected
 
 
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    """Rows ingested twice, NULL ids, and several texts under one id."""
+    near, other, alone = ([f"{x}{k}" for k in range(100)] for x in "nox")
+    edited = " ".join([*near[:-1], "changed"])
+    near, other, alone = map(" ".join, (near, other, alone))
+    rows = [(3, near), (3, near), (3, near), (9, edited), (9, other), (None, other), (None, near),
+            (None, alone), (None, alone), (None, None), (None, None), (7, ""), (7, "")]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    kept = corpus_pipeline.near_dedup_stage(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(3, near), (9, other), (None, alone), (None, None), (7, "")], key=repr)
+
+
 def test_pipeline_runs(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert rows and max(r.offset + r.length for r in rows) <= 1024
