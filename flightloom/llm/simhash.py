@@ -5,9 +5,12 @@ case, weighted by how often it occurs. Its 64-bit hash votes on the bits: a set
 clear bit against. For each bit the votes for it are counted, two bits in one long, and the
 bit is set if they are more than half of all.
 
-To find all fingerprints within a Hamming radius, the 64 bits are cut into blocks. If two
-differ in at most ``radius`` bits, all but ``radius`` blocks are equal; for each choice of that
-many blocks there is a table keyed by these blocks alone, and candidates are compared in full.
+Near ones are looked for by 128 bits, as 64 leave too few between edited copies and unrelated
+texts: the second 64 are voted on by hashes of the hashes. At similarity 0.8 about 19 bits differ.
+To find all fingerprints within a Hamming radius, the bits are cut into blocks, each the key of a
+table. Of two that differ in at most ``radius`` bits, one block differs in at most ``radius //
+blocks``; a query asks for all such neighbours of its blocks, and candidates are compared in full.
+What is found is linked, and the least id of what hangs together names the class.
 
 Edge cases: a NULL text is an empty one, whose fingerprint is 0. Repeated rows (equal id and
 text) are one document when the next one is looked for, and each is returned. A NULL id comes
@@ -17,16 +20,19 @@ is its own next one. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightloom.llm.components import connected_components
 from flightloom.llm.texts import with_totals, written
 
 TERM = 5
 BITS = 64
-RADIUS, BLOCKS = 3, 6
+RADIUS, BLOCKS = 23, 8
 _SPACES = " \t\n\x0b\x0c\r"
 _PAIR = 0x1_0000_0001
 
@@ -46,14 +52,17 @@ def terms(words: Column) -> Column:
     return F.when(words.isNotNull(), hashes)
 
 
-def with_fingerprints(texts: DataFrame, *key: str) -> DataFrame:
+def with_fingerprints(texts: DataFrame, *key: str, again: bool = False) -> DataFrame:
     """``key`` columns and ``bits``, the fingerprint as a long, of the column ``text``.
 
-    Rows with equal keys must have equal texts; the votes of such rows just add up.
+    Rows with equal keys must have equal texts; the votes of such rows just add up. With
+    ``again`` the terms' hashes are hashed once more, for 64 further bits.
     """
     cut = texts.select(*key, words_of(F.col("text")).alias("words")).select(
         *key, F.explode_outer(terms(F.col("words"))).alias("h")
     )
+    if again:
+        cut = cut.withColumn("h", F.when(F.col("h").isNotNull(), F.xxhash64("h")))
     votes = [
         F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_PAIR))).alias(f"v{i}")
         for i in range(BITS // 2)
@@ -82,37 +91,54 @@ def as_text(bits: Column) -> Column:
 # --- near fingerprints ------------------------------------------------------------
 
 
-def block_masks(radius: int, blocks: int) -> list[int]:
-    """For each choice of ``blocks - radius`` blocks, the mask of their bits (signed)."""
-    edges = [round(BITS * i / blocks) for i in range(blocks + 1)]
-    parts = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    masks = [sum(chosen) for chosen in combinations(parts, blocks - radius)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+def neighbour_masks(width: int, most: int) -> list[int]:
+    """All masks of ``width`` bits with at most ``most`` set."""
+    sets = (c for n in range(most + 1) for c in combinations(range(width), n))
+    return [sum(1 << i for i in c) for c in sets]
 
 
 def near(
-    queries: DataFrame, index: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS
+    queries: DataFrame,
+    index: DataFrame,
+    radius: int = RADIUS,
+    blocks: int = BLOCKS,
+    words: Sequence[str] = ("bits",),
+    name: str = "bits",
 ) -> DataFrame:
-    """(query, found): all fingerprints ``bits`` of ``index`` within ``radius`` of a query's.
+    """(query, found): the ``name`` of all fingerprints of ``index`` within ``radius`` of a query's.
 
-    Distinct fingerprints on both sides, so copies are met once. More blocks make longer
-    keys, thus fewer candidates, and more tables.
+    A fingerprint is the longs ``words``. Distinct ones on both sides, so copies are met once.
     """
-    if not 0 <= radius < blocks <= BITS:
-        raise ValueError(f"need 0 <= radius < blocks, not {radius} and {blocks}")
-
-    def tables(frame: DataFrame, name: str) -> DataFrame:
-        rows = [
-            F.struct(F.lit(t).alias("t"), F.col("bits").bitwiseAND(F.lit(m)).alias("block"))
-            for t, m in enumerate(block_masks(radius, blocks))
-        ]
-        each = frame.select("bits").distinct().select("bits", F.explode(F.array(*rows)).alias("k"))
-        return each.select(F.col("bits").alias(name), "k.t", "k.block")
-
-    close = F.bit_count(F.col("query").bitwiseXOR(F.col("found"))) <= radius
+    each, left = divmod(blocks, len(words))
+    if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * len(words):
+        raise ValueError(f"no search with radius {radius}, {blocks} blocks of {len(words)} longs")
+    edges = [round(BITS * i / each) for i in range(each + 1)]
+    most = radius // blocks
+
+    def tables(frame: DataFrame, side: str, ask: bool) -> DataFrame:
+        rows = []
+        for word in words:
+            for low, high in zip(edges, edges[1:]):
+                part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
+                block = F.shiftrightunsigned(word, low).bitwiseAND(part)
+                masks = neighbour_masks(high - low, most) if ask else [0]
+                masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
+                rows.append(F.struct(F.lit(len(rows)).alias("t"), block.alias("b"), masks.alias("m")))
+        kept = dict.fromkeys([*words, name])
+        cut = frame.select(*kept).distinct().select(*kept, F.explode(F.array(*rows)).alias("k"))
+        wide = cut.select(*kept, "k.t", "k.b", F.explode("k.m").alias("mask"))
+        return wide.select(
+            *[F.col(w).alias(f"{side}_{w}") for w in words],
+            F.col(name).alias(side),
+            "t",
+            F.col("b").bitwiseXOR(F.col("mask")).alias("block"),
+        )
+
+    apart = [F.bit_count(F.col(f"query_{w}").bitwiseXOR(F.col(f"found_{w}"))) for w in words]
+    close = reduce(lambda a, b: a + b, apart) <= radius
     # Spark doesn't count that a table has many rows per fingerprint, and would broadcast it.
-    asked = tables(queries, "query").hint("merge")
-    met = asked.join(tables(index, "found"), ["t", "block"]).filter(close)
+    asked = tables(queries, "query", True).hint("merge")
+    met = asked.join(tables(index, "found", False), ["t", "block"]).filter(close)
     return met.select("query", "found").distinct()
 
 
@@ -184,8 +210,9 @@ def edited_texts(docs: DataFrame) -> DataFrame:
 def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Fingerprints of each text and its edited text, with likenesses.
 
-    ``n_near`` tells how many documents lie within ``radius``, itself included, where the
-    id is divisible by 50 (the queries of the search); else it is NULL.
+    ``n_near`` tells how many documents lie within ``radius`` of 128 bits, itself included, where
+    the id is divisible by 50 (the queries of the search); else it is NULL. ``near_class`` is the
+    least id that these finds link a document to, or that of its exact copies.
     """
     next_key = [F.col("next").getField(c).alias(f"next_{c}") for c in _KEY]
     both = F.array(
@@ -204,22 +231,37 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.max(F.when(F.col("kind") == 0, F.col("bits"))).alias("own"),
         F.max(F.when(F.col("kind") == 1, F.col("bits"))).alias("other"),
     )
+    # Each written by itself, so that no task holds the texts and both sums.
     pair = written(pair, "fingerprints")
+    more = with_fingerprints(_keyed(docs), *_KEY, again=True).withColumnRenamed("bits", "more")
+    more = written(more, "more-bits")
+    pair = pair.join(more, _KEY).withColumn("node", F.xxhash64("own", "more"))
+    pair = written(pair, "wide-fingerprints")
     following = pair.select(
         *[F.col(c).alias(f"next_{c}") for c in _KEY], F.col("own").alias("next_own")
     )
     # Neither column is NULL here.
     is_query = (F.col("known") == 1) & (F.col("doc") % 50 == 0)
-    asked = pair.filter(is_query)
-    copies = pair.groupBy(F.col("own").alias("found")).agg(F.sum("copies").alias("of"))
-    bits = F.col("own").alias("bits")
-    found = with_totals(near(asked.select(bits), pair.select(bits), radius), copies, "found")
-    found = found.groupBy(F.col("query").alias("own")).agg(F.sum("of").alias("n_near"))
-    # A query finds itself at least; what isn't one needs no join.
-    other = pair.filter(~is_query).withColumn("n_near", F.lit(None).cast("bigint"))
+    found = near(pair.filter(is_query), pair, radius, words=("own", "more"), name="node")
+    found = written(found, "near-pairs")
+    nodes = pair.groupBy("node").agg(
+        F.sum("copies").alias("of"), F.min(F.when(F.col("known") == 1, F.col("doc"))).alias("least")
+    )
+    nodes = written(nodes, "nodes-of-fingerprints")
+    sizes = nodes.select(F.col("node").alias("found"), "of")
+    sizes = with_totals(found, sizes, "found").groupBy(F.col("query").alias("node"))
+    sizes = sizes.agg(F.sum("of").alias("n_near"))
+    links = connected_components(found.toDF("a", "b"))
+    heads = links.select(F.col("component").alias("id"), "component").distinct()
+    members = written(links.unionByName(heads).withColumnRenamed("id", "node"), "near-members")
+    first = members.join(nodes, "node").groupBy("component").agg(F.min("least").alias("first"))
+    classes = with_totals(members, first, "component").select("node", "first")
+    told = nodes.join(classes, "node", "left").join(sizes, "node", "left").select(
+        "node", "n_near", F.coalesce("first", "least").alias("near_class")
+    )
     return (
-        with_totals(asked, found, "own")
-        .unionByName(other)
+        with_totals(pair, told, "node")
+        .withColumn("n_near", F.when(is_query, F.col("n_near")))
         .join(following, [f"next_{c}" for c in _KEY])
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select(
@@ -231,5 +273,6 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             likeness(F.col("own"), F.col("other")).alias("near_edited"),
             likeness(F.col("own"), F.col("next_own")).alias("near_next"),
             "n_near",
+            "near_class",
         )
     )

@@ -418,6 +418,48 @@ def test_block_tables_find_all_near_fingerprints(spark):
         }
 
 
+def test_block_tables_carry_the_radius_of_wide_fingerprints(spark):
+    rng = random.Random(10)
+    values = [rng.getrandbits(128) for _ in range(60)]
+    for _ in range(200):
+        x = rng.choice(values[:60])
+        for bit in rng.sample(range(128), rng.randrange(15, 30)):
+            x ^= 1 << bit
+        values.append(x)
+    mask = (1 << 64) - 1
+    signed = [[y - (1 << 64) if y >> 63 else y for y in (x & mask, x >> 64)] for x in values]
+    frame = spark.createDataFrame(
+        [(*x, i) for i, x in enumerate(signed)], "own bigint, more bigint, node bigint"
+    )
+    pairs = simhash.near(frame, frame, words=("own", "more"), name="node").collect()
+    assert {(r.query, r.found) for r in pairs} == {
+        (i, j) for i, a in enumerate(values) for j, b in enumerate(values)
+        if (a ^ b).bit_count() <= simhash.RADIUS
+    }
+
+
+def test_simhash_finds_edited_copies_of_four_fifths(spark):
+    """Planted copies at a similarity of 0.80 to 0.85, and unrelated texts."""
+    rng = random.Random(11)
+    texts, ids = [], []
+    for at in range(60):
+        words = sentence(rng, 400, of=5000).split()
+        edited = words.copy()
+        for k in rng.sample(range(4, 395, 6), 8):
+            edited[k] = f"q{k}"
+        a, b = shingle_set(" ".join(words)), shingle_set(" ".join(edited))
+        assert 0.8 <= len(a & b) / len(a | b) < 0.85
+        texts += [" ".join(words), " ".join(edited), sentence(rng, 400, of=5000)]
+        ids += [50 * at, 50 * at + 1, 50 * at + 2]
+    rows = {r.doc_id: r for r in simhash.fingerprint_documents(documents(spark, texts, ids)).collect()}
+    found = [at for at in range(0, 3000, 50) if rows[at + 1].near_class == at]
+    assert len(found) >= 0.85 * 60
+    for at in range(0, 3000, 50):
+        assert rows[at].near_class == at and rows[at + 2].near_class == at + 2
+        assert rows[at].n_near == (2 if at in found else 1)
+        assert rows[at + 1].n_near is None
+
+
 # --- models ------------------------------------------------------------------------
 
 
