@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightloom import testbed
-from flightloom.functions import decode, encode
+from flightloom.functions import decode, encode, payload_drift
 from flightloom.operators import (
     cast_to,
     collapse_samples,
@@ -26,28 +26,39 @@ from flightloom.operators import (
     select_columns,
     unique_records,
 )
+from flightloom.operators.quality import REASONS
 from flightloom.plans import (
+    bucketed_flight_max,
     filter_and_route,
     flight_max_offset,
     land_batch,
     land_csv,
     publish_flight_max,
     round_trip,
+    save_flight_buckets,
 )
 from flightloom.plans.landing import create_landing_tables
-from flightloom.schemas import LANDED, METADATA, RESULT, SAMPLES, WORD
+from flightloom.schemas import LANDED, METADATA, REJECTED_LINE, RESULT, SAMPLES, WORD
 from flightloom.session import shared_path
 from flightloom.sources import (
     FileTopics,
-    create_table,
+    MaximumTable,
     inline_rows,
     read_csv,
+    save_lookup_table,
     save_table,
     scan,
+    scan_periods_of,
     scan_where_in,
     write_csv,
 )
-from flightloom.streaming import drain_typed, land_topic
+from flightloom.streaming import (
+    drain_flight_max,
+    drain_typed,
+    drain_unique,
+    land_topic,
+    latest_maxima,
+)
 
 # The training-data operators are an own part, which may be absent as a whole.
 try:
@@ -155,6 +166,26 @@ def _scan_partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
     return in_periods(scan(spark, table), PERIODS).select(*SAMPLES.names)
 
 
+def _scan_periods_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The periods come from a table, of which a filter leaves some."""
+    table, periods = _name("samples_by_period"), _name("periods")
+    samples = _samples(spark, folder)
+    save_table(samples, table, shared_path(spark, table), partition_columns=["sub_part1"])
+    save_table(
+        samples.select("sub_part1", F.substring("sub_part1", 1, 4).alias("year")).distinct(),
+        periods, shared_path(spark, periods),
+    )
+    wanted = equals(scan(spark, periods), "year", "1998")
+    return scan_periods_of(spark, table, wanted).select(*SAMPLES.names)
+
+
+def _scan_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of one id from a table saved for lookups."""
+    table = _name("samples_by_id")
+    save_lookup_table(_samples(spark, folder), table, "unique_id", shared_path(spark, table))
+    return scan(spark, table, unique_id=8)
+
+
 def _inline_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Inline rows give the samples of their ids a word."""
     words = inline_rows(spark, INLINE, WORD)
@@ -200,6 +231,23 @@ def _skip_tombstones(spark: SparkSession, folder: str) -> DataFrame:
     return decode(drop_tombstones(_as_records(records)), SAMPLES).drop("timestamp")
 
 
+def _decode_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples of which some name fields differently, hold other types, or are no object."""
+    records = _encode_samples(spark, folder)
+    for divisor, rest, old, new in (
+        (5, 0, '"value":', '"extra":'),
+        (7, 1, '"file_type":', '"File_type":'),
+        (11, 2, '"offset":', '"offset":"far","was":'),
+        (13, 3, '"sub_part2":', '"sub_part2":null,"old":'),
+    ):
+        changed = F.replace("value", F.lit(old), F.lit(new))
+        hit = F.col("key").cast("bigint") % divisor == rest
+        records = records.withColumn("value", F.when(hit, changed).otherwise(F.col("value")))
+    key = F.col("key").cast("bigint")
+    text = F.when(key % 19 == 5, None).when(key % 17 == 4, "[1]").otherwise(F.col("value"))
+    return payload_drift(_as_records(records.withColumn("value", text)), SAMPLES)
+
+
 # --- relational -------------------------------------------------------------------
 
 
@@ -280,6 +328,23 @@ def _unique_records(spark: SparkSession, folder: str) -> DataFrame:
     return decode(unique_records(records), SAMPLES).drop("timestamp")
 
 
+def _repeated_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """A publish that is run again under its name is read once."""
+    topics = _topics(spark)
+    for _ in range(2):
+        topics.publish(_encode_samples(spark, folder), "samples", name="first")
+    return decode(topics.read("samples"), SAMPLES).drop("timestamp")
+
+
+def _records_since(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic from a time on: what was published before is not read."""
+    topics, samples = _topics(spark), _samples(spark, folder)
+    topics.publish(encode(samples.where("unique_id % 2 = 0"), "unique_id"), "samples")
+    since = datetime.now(UTC)
+    topics.publish(encode(samples.where("unique_id % 2 = 1"), "unique_id"), "samples")
+    return decode(topics.read("samples", since=since), SAMPLES).drop("timestamp")
+
+
 def _filter_route(spark: SparkSession, folder: str) -> DataFrame:
     routed = filter_and_route(
         testbed.words(spark, folder),
@@ -304,6 +369,82 @@ def _stream_drain(spark: SparkSession, folder: str) -> DataFrame:
     return drained.drop("timestamp")
 
 
+def _stream_unique_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Three publishes that overlap, drained one by one: each record is there once."""
+    topics, samples = _topics(spark), _samples(spark, folder)
+    out, checkpoint = shared_path(spark, "drained"), shared_path(spark, "position")
+    for rows in ("unique_id % 3 < 2", "unique_id % 3 > 0", "true"):
+        topics.publish(encode(samples.where(rows), "unique_id"), "samples")
+        drained = drain_unique(topics.read_stream("samples"), SAMPLES, out, checkpoint)
+    return drained.drop("timestamp")
+
+
+def _stream_flight_max(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship over a stream: a part of the samples per drain."""
+    topics, samples = _topics(spark), _samples(spark, folder)
+    table = MaximumTable(spark, shared_path(spark, "maxima"), buckets=16)
+    checkpoint = shared_path(spark, "position")
+    for part in range(2):
+        rows = samples.where(F.pmod(F.xxhash64("unique_id", "sub_part2"), F.lit(2)) == part)
+        topics.publish(encode(rows, "unique_id"), "samples")
+        stream = topics.read_stream("samples")
+        drain_flight_max(stream, _metadata(spark, folder), table, checkpoint)
+    return table.read()
+
+
+def _stream_flight_max_published(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with each batch's maxima sent to a topic and the result read from there."""
+    topics = _topics(spark)
+    topics.publish(_encode_samples(spark, folder), "samples")
+    table = MaximumTable(spark, shared_path(spark, "maxima"), buckets=16)
+    drain_flight_max(
+        topics.read_stream("samples", maxFilesPerTrigger="3"),
+        _metadata(spark, folder),
+        table,
+        shared_path(spark, "position"),
+        publish=(topics, "results"),
+    )
+    return latest_maxima(topics.read("results"))
+
+
+def _merged_flight_max(spark: SparkSession, folder: str) -> DataFrame:
+    """The result kept up to date by merges of three parts of the samples, one of them twice."""
+    table = MaximumTable(spark, shared_path(spark, "maxima"), buckets=16)
+    metadata = _metadata(spark, folder)
+    for part in (0, 1, 1, 2):
+        rows = _samples(spark, folder).where(F.pmod("unique_id", F.lit(3)) == part)
+        table.merge(flight_max_offset(rows, metadata))
+    return table.read()
+
+
+def _flight_max_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship on bucketed tables; ids with over five samples count as hot here."""
+    table = _name("bucketed")
+    save_flight_buckets(
+        _samples(spark, folder), _metadata(spark, folder), table, 8, shared_path(spark, table),
+        hot_rows=5,
+    )
+    return bucketed_flight_max(spark, table)
+
+
+def _land_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of the records of two drains, with tombstones and broken payloads."""
+    topics = _topics(spark)
+    records = encode(_dirty_result(spark, folder), "adi_flight_record_number")
+    key = F.col("key").cast("bigint")
+    payload = F.when(key % 5 == 0, None).when(key % 7 == 3, "{").otherwise(F.col("value"))
+    records = records.withColumn("value", payload)
+    table, rejects, accounts = _name("landed"), _name("rejected"), _name("accounts")
+    staging, checkpoint = shared_path(spark, "staging"), shared_path(spark, "position")
+    for part in range(2):
+        topics.publish(records.where(key % 2 == part), "results")
+        land_topic(
+            topics.read_stream("results"), table, rejects, staging, checkpoint,
+            create=part == 0, location=shared_path(spark, "warehouse"), accounts=accounts,
+        )
+    return spark.table(accounts).groupBy("measure").agg(F.sum("n").alias("n"))
+
+
 def _landed_tables(spark: SparkSession, folder: str) -> tuple[str, str]:
     """Publishes the dirty result, drains it into two tables, returns their names."""
     topics = _topics(spark)
@@ -371,29 +512,37 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, RESULT)
 
 
+def _csv_line_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of many lines, by way of files that are read in pieces."""
+    path = shared_path(spark, "csv")
+    orders = spark.read.parquet(f"{folder}/orders.parquet").selectExpr(
+        "o_orderkey as unique_id",
+        "concat_ws('\\n', o_orderpriority, '\\\\n', o_orderstatus, '\\r\\n', ',\"') as word",
+    )
+    write_csv(orders, path)
+    return read_csv(spark, path, orders.schema)
+
+
 def _landed_csv(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """The landing by way of a CSV spool; the names of both tables."""
+    """The landing by way of a CSV spool, run twice under its name; the names of both tables."""
     spool, table, rejects = shared_path(spark, "csv"), _name("landed"), _name("rejected")
     write_csv(_dirty_result(spark, folder), spool)
-    create_table(spark, table, LANDED, shared_path(spark, table))
-    create_table(spark, rejects, RESULT, shared_path(spark, rejects))
-    land_csv(spark, spool, table, rejects)
+    create_landing_tables(
+        spark, table, rejects, shared_path(spark, "warehouse"), by_batch=True,
+        rejected=REJECTED_LINE,
+    )
+    for _ in range(2):
+        land_csv(spark, spool, table, rejects, shared_path(spark, "staging"), load="spool")
     return table, rejects
 
 
 def _land_csv_table(spark: SparkSession, folder: str) -> DataFrame:
-    return scan(spark, _landed_csv(spark, folder)[0])
+    return scan(spark, _landed_csv(spark, folder)[0]).select(*LANDED.names)
 
 
 def _land_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return scan(spark, _landed_csv(spark, folder)[1]).selectExpr(
-        "adi_flight_record_number",
-        "ems_system_id",
-        "parameter_id",
-        "value is null as no_value",
-        "MaxOffset is null as no_max_offset",
-        "coalesce(isnan(MaxOffset), false) as not_a_number",
-    )
+    """Refused lines as they stand in the spool, with all their reasons."""
+    return scan(spark, _landed_csv(spark, folder)[1]).select(*REJECTED_LINE.names)
 
 
 def _flight_max_offset_collapsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -417,6 +566,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_partition_in": _scan_partition_in,
         "scan_partition_in_limit": _scan_partition_in_limit,
         "scan_partitioned_table": _scan_partitioned_table,
+        "scan_periods_of": _scan_periods_of,
+        "scan_lookup": _scan_lookup,
         "inline_rows": _inline_rows,
         "preview": _preview,
         "encode_samples": _encode_samples,
@@ -425,6 +576,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decode_metadata": _decode_metadata,
         "decode_result": _decode_result,
         "skip_tombstones": _skip_tombstones,
+        "decode_drift": _decode_drift,
         "dedupe_metadata": _dedupe_metadata,
         "enrich_join": _enrich_join,
         "metadata_rekey": _metadata_rekey,
@@ -434,22 +586,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flight_max_offset": _flight_max_offset,
         "flight_max_offset_collapsed": _flight_max_offset_collapsed,
         "flight_max_offset_one_id": _flight_max_offset_one_id,
+        "flight_max_bucketed": _flight_max_bucketed,
+        "merged_flight_max": _merged_flight_max,
+        "stream_flight_max": _stream_flight_max,
+        "stream_flight_max_published": _stream_flight_max_published,
         "flight_max_offset_roundtrip": _flight_max_offset_roundtrip,
         "topic_roundtrip_samples": _topic_roundtrip_samples,
         "topic_roundtrip_metadata": _topic_roundtrip_metadata,
         "topic_roundtrip_metadata_micros": _topic_roundtrip_metadata_micros,
         "topic_record_times": _topic_record_times,
         "unique_records": _unique_records,
+        "repeated_publish": _repeated_publish,
+        "records_since": _records_since,
+        "stream_unique_records": _stream_unique_records,
         "filter_route": _filter_route,
         "stream_drain": _stream_drain,
         "reject_non_numeric": _reject_non_numeric,
         "cast_landed": _cast_landed,
         "land_result_table": _land_result_table,
         "land_rejects": _land_rejects,
+        "land_accounts": _land_accounts,
         "land_batch_table": _land_batch_table,
         "land_csv_table": _land_csv_table,
         "land_csv_rejects": _land_csv_rejects,
         "csv_roundtrip": _csv_roundtrip,
+        "csv_line_breaks": _csv_line_breaks,
         "save_as_table": _save_as_table,
         **(llm_queries.queries() if llm_queries else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
@@ -527,6 +688,67 @@ def _metadata_json() -> str:
     return f"'{{' || concat_ws(',', {', '.join(fields)}) || '}}'"
 
 
+def _drift_sql() -> str:
+    """Counts of the drift that ``_decode_drift`` makes, field by field."""
+    lacking = {"value": "unique_id % 5 = 0", "file_type": "unique_id % 7 = 1"}
+    null, unreadable = {"sub_part2": "unique_id % 13 = 3"}, {"offset": "unique_id % 11 = 2"}
+    extra = {"extra": "unique_id % 5 = 0", "File_type": "unique_id % 7 = 1",
+             "was": "unique_id % 11 = 2", "old": "unique_id % 13 = 3"}
+
+    def count(holds: str) -> str:
+        return f"count(*) filter (unique_id % 17 <> 4 and ({holds}))"
+
+    parts = [
+        f"select '{f}' as field, true as declared,"
+        f" {count('not (' + lacking.get(f, 'false') + ')')} as n_present,"
+        f" {count(lacking.get(f, 'false'))} as n_lacking, {count(null.get(f, 'false'))} as n_null,"
+        f" {count(unreadable.get(f, 'false'))} as n_unreadable from alive"
+        for f in SAMPLES.names
+    ]
+    parts += [
+        f"select '{f}', false, {count(holds)}, 0, 0, 0 from alive having {count(holds)} > 0"
+        for f, holds in extra.items()
+    ]
+    parts.append(
+        f"select null, false, {count('true')}, 0, 0,"
+        " count(*) filter (unique_id % 17 = 4) from alive"
+    )
+    alive = ", alive as (select * from samples where unique_id % 19 <> 5) "
+    return _CTE + alive + " union all ".join(parts)
+
+
+def _accounts_sql() -> str:
+    """Measures of ``_land_accounts``: a broken payload lacks every field."""
+    broken = "adi_flight_record_number % 7 = 3"
+    dead = "adi_flight_record_number % 5 = 0"
+    holds = {
+        "unreadable": broken,
+        "no_ems_system_id": f"{broken} or ems_system_id is null",
+        "no_flight_record_number": f"{broken} or adi_flight_record_number is null",
+        "no_value": f"{broken} or value is null",
+        "no_max_offset": f'{broken} or "MaxOffset" is null',
+        "max_offset_not_a_number": f'not ({broken}) and coalesce(isnan("MaxOffset"), false)',
+    }
+    assert tuple(holds) == REASONS
+    refused = " or ".join(f"({h})" for h in holds.values())
+    measures = {
+        "read": "true",
+        "skipped": dead,
+        "kept": f"not ({dead}) and not ({refused})",
+        "refused": f"not ({dead}) and ({refused})",
+        **{f"refused_{r}": f"not ({dead}) and ({h})" for r, h in holds.items()},
+    }
+    return _CTE + " union all ".join(
+        f"select '{m}' as measure, count(*) filter ({h}) as n from dirty"
+        for m, h in measures.items()
+    )
+
+
+_REASON = (
+    "concat_ws(',', case when value is null then 'no_value' end,"
+    " case when \"MaxOffset\" is null then 'no_max_offset' end,"
+    " case when isnan(\"MaxOffset\") then 'max_offset_not_a_number' end) as reject_reason"
+)
 _KEPT = 'value is not null and "MaxOffset" is not null and not isnan("MaxOffset")'
 
 
@@ -621,18 +843,32 @@ def oracle_sql() -> dict[str, str]:
         "land_batch_table": landed,
         "land_csv_table": landed,
         "land_csv_rejects": _select(
-            "select adi_flight_record_number, ems_system_id, parameter_id,"
-            ' value is null as no_value, "MaxOffset" is null as no_max_offset,'
-            ' coalesce(isnan("MaxOffset"), false) as not_a_number'
+            f"select {_REASON}, adi_flight_record_number || ',' || ems_system_id || ',' ||"
+            " parameter_id || ',' || coalesce(cast(value as varchar), '') || ',' ||"
+            " case when isnan(\"MaxOffset\") then 'NaN'"
+            " else coalesce(cast(\"MaxOffset\" as varchar), '') end as line"
             f" from dirty where not coalesce({_KEPT}, false)"
         ),
         "land_rejects": _select(
-            "select concat_ws(',', case when value is null then 'no_value' end,"
-            " case when \"MaxOffset\" is null then 'no_max_offset' end,"
-            " case when isnan(\"MaxOffset\") then 'max_offset_not_a_number' end)"
-            " as reject_reason, adi_flight_record_number, ems_system_id, parameter_id"
+            f"select {_REASON}, adi_flight_record_number, ems_system_id, parameter_id"
             f" from dirty where not coalesce({_KEPT}, false)"
         ),
+        "land_accounts": _accounts_sql(),
+        "decode_drift": _drift_sql(),
+        "csv_line_breaks": (
+            "select o_orderkey as unique_id, o_orderpriority || chr(10) || chr(92) || 'n' ||"
+            " chr(10) || o_orderstatus || chr(10) || chr(13) || chr(10) || chr(10) || ',\"'"
+            " as word from orders"
+        ),
+        "scan_periods_of": _select("select * from samples where sub_part1 like '1998-%'"),
+        "scan_lookup": _select("select * from samples where unique_id = 8"),
+        "repeated_publish": samples,
+        "records_since": _select("select * from samples where unique_id % 2 = 1"),
+        "stream_unique_records": samples,
+        "flight_max_bucketed": result,
+        "merged_flight_max": result,
+        "stream_flight_max": result,
+        "stream_flight_max_published": result,
         "csv_roundtrip": result,
         "save_as_table": result,
         **(llm_queries.oracle_sql() if llm_queries else {}),

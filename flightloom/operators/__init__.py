@@ -2,6 +2,7 @@ from flightloom.operators.quality import (
     cast_to,
     drop_tombstones,
     is_missing,
+    reason_counts,
     reject_non_numeric,
     with_reject_reason,
 )
@@ -11,6 +12,7 @@ from flightloom.operators.relational import (
     enrich_join,
     equals,
     in_periods,
+    in_periods_of,
     max_offset,
     preview,
     rekey,
@@ -26,9 +28,11 @@ __all__ = [
     "enrich_join",
     "equals",
     "in_periods",
+    "in_periods_of",
     "is_missing",
     "max_offset",
     "preview",
+    "reason_counts",
     "reject_non_numeric",
     "rekey",
     "select_columns",

@@ -42,26 +42,45 @@ def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+# Why a record is not landed, in the order in which reasons are named.
+REASONS = (
+    "unreadable",
+    "no_ems_system_id",
+    "no_flight_record_number",
+    "no_value",
+    "no_max_offset",
+    "max_offset_not_a_number",
+)
+
+
 def with_reject_reason(nested: DataFrame) -> DataFrame:
     """Adds why a decoded record cannot be landed; NULL where it can.
 
-    ``nested`` is what ``decode_nested`` returns. Every reason that holds is
-    named, so that counts per reason are whole.
+    ``nested`` is what ``decode_nested`` returns: ``data`` and ``record``. Every reason that
+    holds is named, so that counts per reason are whole.
     """
 
     def field(name: str) -> Column:
         return F.col("data").getField(name)
 
-    reasons = [
-        F.when(F.col("data").isNull() | field(CORRUPT).isNotNull(), "unreadable"),
-        F.when(field("ems_system_id").isNull(), "no_ems_system_id"),
-        F.when(field("adi_flight_record_number").isNull(), "no_flight_record_number"),
-        F.when(field("value").isNull(), "no_value"),
-        F.when(field("MaxOffset").isNull(), "no_max_offset"),
-        F.when(F.isnan(field("MaxOffset")), "max_offset_not_a_number"),
-    ]
-    text = F.concat_ws(",", *reasons)
+    holds = (
+        F.col("data").isNull() | field(CORRUPT).isNotNull(),
+        field("ems_system_id").isNull(),
+        field("adi_flight_record_number").isNull(),
+        field("value").isNull(),
+        field("MaxOffset").isNull(),
+        F.isnan(field("MaxOffset")),
+    )
+    text = F.concat_ws(",", *[F.when(bad, reason) for bad, reason in zip(holds, REASONS)])
     landed = [field(f.name).alias(f.name) for f in LANDED]
     return nested.select(
         *landed, "record", F.when(text != "", text).alias("reject_reason")
     )
+
+
+def reason_counts(reason: Column | str) -> list[Column]:
+    """One aggregate per reason: how many rows have it, alone or among others."""
+    each = F.split(reason, ",")
+    return [
+        F.count(F.when(F.array_contains(each, r), F.lit(1))).alias(f"refused_{r}") for r in REASONS
+    ]

@@ -27,6 +27,16 @@ def in_periods(df: DataFrame, periods: Sequence[str], column: str = "sub_part1")
     return df.where(F.col(column).isin(*periods))
 
 
+def in_periods_of(df: DataFrame, periods: DataFrame, column: str = "sub_part1") -> DataFrame:
+    """Rows whose period is in a table of periods, which may be filtered itself.
+
+    On a table partitioned by period, Spark evaluates the small side first and then reads the
+    matching directories only. It does so if that side is below the broadcast threshold;
+    beyond it the rows meet in a shuffled join.
+    """
+    return df.join(periods.select(F.col(periods.columns[0]).alias(column)), column, "left_semi")
+
+
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:
     """Some rows, in no given order."""
     return df.limit(rows)

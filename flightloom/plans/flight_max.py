@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from flightloom.operators import (
     collapse_samples,
@@ -11,8 +11,10 @@ from flightloom.operators import (
     equals,
     max_offset,
 )
+from flightloom.operators.relational import JOIN_KEYS
 from flightloom.plans.roundtrip import round_trip
 from flightloom.schemas import RESULT
+from flightloom.sources.tables import save_bucketed
 from flightloom.sources.topics import Topics
 
 
@@ -37,6 +39,35 @@ def flight_max_offset(
     return max_offset(enrich_join(samples, dedupe_keys(metadata)))
 
 
+def save_flight_buckets(
+    samples: DataFrame,
+    metadata: DataFrame,
+    table: str,
+    buckets: int,
+    location: str | None = None,
+    hot_rows: int = 50_000_000,
+) -> None:
+    """Samples and metadata keys in buckets of the join keys, as ``<table>`` and
+    ``<table>_keys``; samples of a key with more than ``hot_rows`` rows lie apart."""
+    save_bucketed(samples, table, JOIN_KEYS, buckets, location, hot_rows)
+    keys = dedupe_keys(metadata)
+    save_bucketed(keys, f"{table}_keys", JOIN_KEYS, buckets, location and f"{location}_keys")
+
+
+def bucketed_flight_max(spark: SparkSession, table: str) -> DataFrame:
+    """The result from what ``save_flight_buckets`` saved.
+
+    Bucketed samples meet their keys where they lie and combine there before the one shuffle
+    by result. The few hot keys are joined as ``flight_max_offset`` does it, where Spark may
+    split them over tasks.
+    """
+    keys = spark.table(f"{table}_keys")
+    apart = keys.join(spark.table(f"{table}_hot_keys"), JOIN_KEYS, "left_semi")
+    near = enrich_join(spark.table(table), keys)
+    hot = enrich_join(spark.table(f"{table}_hot"), apart)
+    return max_offset(near.unionByName(hot))
+
+
 def publish_flight_max(
     samples: DataFrame,
     metadata: DataFrame,
@@ -44,7 +75,10 @@ def publish_flight_max(
     topic: str,
     unique_id: int | None = None,
     collapse: bool = False,
+    publish: str | None = None,
 ) -> DataFrame:
     """Publishes the result, keyed by flight record number, and reads the topic back."""
     result = flight_max_offset(samples, metadata, unique_id, collapse)
-    return round_trip(result, topics, topic, RESULT, key="adi_flight_record_number")
+    return round_trip(
+        result, topics, topic, RESULT, key="adi_flight_record_number", publish=publish
+    )

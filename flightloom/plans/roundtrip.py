@@ -16,7 +16,11 @@ def round_trip(
     schema: StructType,
     key: str = "unique_id",
     lossless_time: bool = False,
+    publish: str | None = None,
 ) -> DataFrame:
-    """All records of the topic after publishing ``df`` to it, with the broker time."""
-    topics.publish(encode(df, key, lossless_time), topic)
+    """All records of the topic after publishing ``df`` to it, with the broker time.
+
+    ``publish`` names the publish, which may then be run again; file topics only.
+    """
+    topics.publish(encode(df, key, lossless_time), topic, name=publish)
     return decode(topics.read(topic), schema, lossless_time)

@@ -16,10 +16,11 @@ def filter_and_route(
     names: list[str],
     schema: StructType,
     key: str = "unique_id",
+    publish: str | None = None,
 ) -> dict[str, DataFrame]:
     """Publishes the passing rows to every topic, and returns each topic decoded.
 
     The rows are scanned, filtered and encoded once, however many topics there are.
     """
-    topics.publish(encode(rows.where(predicate), key), *names)
+    topics.publish(encode(rows.where(predicate), key), *names, name=publish)
     return {name: decode(topics.read(name), schema) for name in names}

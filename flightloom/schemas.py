@@ -70,3 +70,9 @@ REJECTED = _struct(
     """reject_reason string, topic string, partition string, offset bigint,
        timestamp timestamp, payload string"""
 )
+
+# A line of a CSV spool that could not be landed, and why.
+REJECTED_LINE = _struct("reject_reason string, line string")
+
+# What became of the records of a part: one row per measure.
+ACCOUNT = _struct("measure string, n bigint")

@@ -64,3 +64,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file, in any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

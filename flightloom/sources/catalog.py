@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flightloom.operators import equals, in_periods
+from flightloom.operators import equals, in_periods, in_periods_of
 
 
 def scan(spark: SparkSession, table: str, unique_id: int | None = None) -> DataFrame:
@@ -36,6 +36,13 @@ def scan_where_in(
     return df if limit is None else df.limit(limit)
 
 
+def scan_periods_of(
+    spark: SparkSession, table: str, periods: DataFrame, column: str = "sub_part1"
+) -> DataFrame:
+    """Rows of a table in the periods that the first column of another table lists."""
+    return in_periods_of(spark.table(table), periods, column)
+
+
 def inline_rows(
     spark: SparkSession, rows: Iterable[tuple], schema: StructType | str
 ) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from flightloom.functions import decode
@@ -35,3 +38,42 @@ def drain_typed(
     drain(decode(drop_tombstones(stream), schema), path, checkpoint)
     drained = StructType([*schema.fields, StructField("timestamp", MESSAGE["timestamp"].dataType)])
     return spark.read.schema(drained).parquet(path)
+
+
+# What makes two records of a topic the same, if they were published twice; and if a reader
+# got them twice.
+CONTENT, POSITION = ("topic", "key", "value"), ("topic", "partition", "offset")
+
+
+def unique_stream(
+    stream: DataFrame, within: str = "7 days", identity: Sequence[str] = CONTENT
+) -> DataFrame:
+    """Each record once, if its copies come ``within`` that time of broker time.
+
+    The state holds a digest per record of that time, not the record; the watermark lets go of
+    older ones. A copy that comes later is taken for a new record, one more than that time
+    behind the newest record is dropped.
+    """
+    texts = [F.coalesce(F.hex(F.col(c).cast("string").cast("binary")), F.lit("-")) for c in identity]
+    digest = F.unhex(F.sha2(F.concat_ws(",", *texts), 256))
+    return (
+        stream.withColumn("_record", digest)
+        .withWatermark("timestamp", within)
+        .dropDuplicatesWithinWatermark(["_record"])
+        .drop("_record")
+    )
+
+
+def drain_unique(
+    stream: DataFrame,
+    schema: StructType,
+    path: str,
+    checkpoint: str,
+    within: str = "7 days",
+    identity: Sequence[str] = CONTENT,
+) -> DataFrame:
+    """As ``drain_typed``, with records that were published again drained once.
+
+    The state stays with the checkpoint, so copies are found across drains, too.
+    """
+    return drain_typed(unique_stream(stream, within, identity), schema, path, checkpoint)

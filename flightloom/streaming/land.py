@@ -7,17 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from flightloom.plans.landing import (
     clear_staging,
     create_landing_tables,
-    kept_rows,
-    refused_rows,
-    replace_part,
+    fill_parts,
     stage,
     staged_rows,
 )
 
 
-_replace_batch = replace_part
-
-
 def land_topic(
     stream: DataFrame,
     table: str,
@@ -26,9 +21,12 @@ def land_topic(
     checkpoint: str,
     create: bool = True,
     location: str | None = None,
+    accounts: str | None = None,
 ) -> None:
     """Lands what the stream has not delivered yet in two tables, and returns.
 
+    ``accounts`` names a table of counts, one set per batch: see ``stage``.
+
     Tables carry the name of the batch, made of the query's id and the batch number, as
     last column and partition. The id stays with the checkpoint, so a batch that is tried
     again writes its own partition again, and other topics or checkpoints never write it.
@@ -37,16 +35,17 @@ def land_topic(
     """
     spark: SparkSession = stream.sparkSession
     if create:
-        create_landing_tables(spark, table, rejects, location, by_batch=True)
+        create_landing_tables(
+            spark, table, rejects, location, by_batch=True, accounts=accounts
+        )
 
     def land(batch: DataFrame, number: int) -> None:
         # Spark sets the id, which a restart on the same checkpoint keeps.
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         path = f"{staging}/{query_id}"
-        stage(batch, path)
+        counts = stage(batch, path)
         staged = staged_rows(batch.sparkSession, path)
-        _replace_batch(kept_rows(staged), table, f"{query_id}-{number}")
-        _replace_batch(refused_rows(staged), rejects, f"{query_id}-{number}")
+        fill_parts(staged, counts, table, rejects, f"{query_id}-{number}", accounts)
         clear_staging(batch.sparkSession, path)
 
     query = (

@@ -1,0 +1,213 @@
+"""Counts of landings, and the landing by way of CSV."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from flightloom.functions import encode
+from flightloom.operators.quality import REASONS
+from flightloom.plans import land_batch, land_csv, landing
+from flightloom.plans.landing import create_landing_tables, stage, stage_csv, staged_rows
+from flightloom.schemas import LANDED, REJECTED_LINE, RESULT
+from flightloom.sources import FileTopics, parsed_line, read_csv, read_lines, write_csv
+from flightloom.streaming import land_topic
+from tests.test_sinks import DIRTY, GOOD, NAN, landed, payloads, result
+from tests.util import rows
+
+BAD = [
+    (None, 1, "p", 1, 1.0),
+    (1, None, "p", 1, 1.0),
+    (1, 1, "p", 1, NAN),
+    (1, 1, "a,\nb", None, None),
+]
+
+
+def whole(counts):
+    return counts["kept"] + counts["refused"] + counts["skipped"] == counts["read"]
+
+
+def test_counts_of_a_batch(spark, path):
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD + BAD), "adi_flight_record_number"), "r")
+    topics.publish(payloads(spark, [*DIRTY, None, None]), "r")
+    counts = stage(topics.read("r"), path("staging"))
+    assert counts["read"] == 6 + len(DIRTY) + 2 and counts["skipped"] == 2 and whole(counts)
+    staged = staged_rows(spark, path("staging"))
+    assert counts["kept"] == 2 and counts["refused"] == staged.count() - 2
+    for reason in REASONS:
+        n = sum(reason in (r.reject_reason or "").split(",") for r in staged.collect())
+        assert counts[f"refused_{reason}"] == n
+    assert counts["refused_unreadable"] > 0 and counts["refused_no_value"] > 1
+
+
+def test_counts_of_nothing(spark, path):
+    counts = stage(payloads(spark, []).selectExpr(
+        "binary(key) as key", "binary(value) as value", "'t' as topic", "'p' as partition",
+        "0L as offset", "current_timestamp() as timestamp",
+    ), path("staging"))
+    assert set(counts.values()) == {0}
+
+
+def test_accounts_drain_by_drain(spark, path):
+    topics = FileTopics(spark, path("topics"))
+
+    def land(create):
+        land_topic(
+            topics.read_stream("r"), "ok_a", "bad_a", path("staging"), path("pos"),
+            create=create, location=path("tables"), accounts="acc_a",
+        )
+
+    topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
+    land(True)
+    topics.publish(payloads(spark, [*DIRTY, None]), "r")
+    land(False)
+    land(False)
+    table = spark.table("acc_a")
+    assert table.select("drain_batch").distinct().count() == 2
+    total = {r.measure: r.n for r in table.groupBy("measure").agg(F.sum("n").alias("n")).collect()}
+    assert whole(total) and total["kept"] == 2 and total["skipped"] == 1
+    assert total["refused"] == spark.table("bad_a").count() == len(DIRTY)
+
+
+def test_account_is_written_last_and_once(spark, path, monkeypatch):
+    """A part with an account is whole; a landing that is run again has one account."""
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD + BAD), "adi_flight_record_number"), "r")
+    create_landing_tables(spark, "ok_w", "bad_w", path("tables"), by_batch=True, accounts="acc_w")
+    real = landing.replace_part
+
+    def dies(df, table, part):
+        if table == "bad_w":
+            raise OSError("lost")
+        real(df, table, part)
+
+    def load():
+        return land_batch(topics.read("r"), "ok_w", "bad_w", path("staging"), "monday", "acc_w")
+
+    monkeypatch.setattr(landing, "replace_part", dies)
+    with pytest.raises(OSError):
+        load()
+    assert spark.table("acc_w").count() == 0
+    monkeypatch.setattr(landing, "replace_part", real)
+    for _ in range(2):
+        counts = load()
+    assert {r.measure: r.n for r in spark.table("acc_w").collect()} == counts
+    assert whole(counts) and counts["refused"] == spark.table("bad_w").count() == len(BAD)
+    with pytest.raises(ValueError):
+        land_batch(topics.read("r"), "ok_w", "bad_w", path("staging"), accounts="acc_w")
+
+
+def test_lost_rows_are_an_error(spark, path, monkeypatch):
+    topics = FileTopics(spark, path("topics"))
+    topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
+    monkeypatch.setattr(landing, "drop_tombstones", lambda records: records.limit(1))
+    with pytest.raises(landing.Miscounted):
+        stage(topics.read("r"), path("staging"))
+
+
+# --- CSV ----------------------------------------------------------------------------
+
+LINES = {
+    "1,2,p,3": "unreadable,no_max_offset",
+    "1,2,p,3,4.0,5": "unreadable",
+    "x,2,p,3,4.0": "unreadable,no_flight_record_number",
+    "1,2,p,,": "no_value,no_max_offset",
+    '1,2,"p,3,4.0': "unreadable,no_value,no_max_offset",
+    "1,2,p,99999999999999999999,NaN": "unreadable,no_value,max_offset_not_a_number",
+    ",,,,": "no_ems_system_id,no_flight_record_number,no_value,no_max_offset",
+}
+
+
+def spool(spark, path):
+    """Good rows as we write them, and a file by hand with lines that cannot be landed."""
+    write_csv(result(spark, GOOD), path("csv"))
+    lines = spark.createDataFrame([(x,) for x in [",".join(RESULT.names), *LINES]], "line string")
+    lines.coalesce(1).write.mode("append").text(path("csv"))
+    return path("csv")
+
+
+def test_refused_lines_keep_their_text_and_reasons(spark, path):
+    folder = spool(spark, path)
+    create_landing_tables(
+        spark, "ok_c", "bad_c", path("tables"), by_batch=True, accounts="acc_c", rejected=REJECTED_LINE
+    )
+    counts = land_csv(spark, folder, "ok_c", "bad_c", path("staging"), "one", "acc_c")
+    assert rows(spark.table("ok_c").select(*LANDED.names)) == landed(GOOD)
+    assert {r.line: r.reject_reason for r in spark.table("bad_c").collect()} == LINES
+    assert counts["read"] == 9 and counts["kept"] == 2 and whole(counts)
+
+
+@pytest.mark.parametrize("dies_in", ["ok_", "bad_", "acc_"])
+def test_csv_landing_that_dies_is_whole_and_single_after_a_retry(spark, path, monkeypatch, dies_in):
+    folder = spool(spark, path)
+    names = [f"{stem}{dies_in}x" for stem in ("ok_", "bad_", "acc_")]
+    table, rejects, accounts = names
+    create_landing_tables(
+        spark, table, rejects, path("tables"), by_batch=True, accounts=accounts, rejected=REJECTED_LINE
+    )
+    real = landing.replace_part
+
+    def dies(df, name, part):
+        real(df, name, part)  # the write itself may have ended
+        if name.startswith(dies_in):
+            raise OSError("lost")
+
+    def load(name):
+        return land_csv(spark, folder, table, rejects, path("staging"), name, accounts)
+
+    load("before")
+    monkeypatch.setattr(landing, "replace_part", dies)
+    with pytest.raises(OSError):
+        load("today")
+    monkeypatch.setattr(landing, "replace_part", real)
+    load("today")
+    assert rows(spark.table(table).select(*LANDED.names)) == landed(GOOD * 2)
+    assert spark.table(rejects).count() == 2 * len(LINES)
+    assert spark.table(accounts).where("measure = 'read'").agg(F.sum("n")).first()[0] == 18
+
+
+def test_other_header_is_refused(spark, path):
+    write_csv(result(spark, GOOD).select(*LANDED.names), path("csv"))
+    with pytest.raises(Exception, match="header"):
+        stage_csv(spark, path("csv"), path("staging"))
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, path):
+    """And rows with breaks in texts stay whole, wherever the file is cut."""
+    text = "'line one\n', id, '\r\n\\\\n', repeat('x', id % 50), '\n\"q\",'"
+    df = spark.range(0, 20_000, 1, 1).selectExpr("id", f"concat({text}) as text", "id * 2 as value")
+    write_csv(df, path("csv"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        back = read_csv(spark, path("csv"), df.schema)
+        assert len(back.inputFiles()) == 1
+        assert back.rdd.getNumPartitions() > 10
+        assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+        lines = read_lines(spark, path("csv"), df.schema)
+        parsed = lines.select(parsed_line("line", df.schema).alias("d")).select("d.*")
+        assert parsed.where("_corrupt_record is not null").count() == 0
+        assert parsed.drop("_corrupt_record").exceptAll(df).count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_files_of_others_may_hold_breaks(spark, path):
+    text = '"adi_flight_record_number",ems_system_id,parameter_id,value,MaxOffset\n1,2,"a\nb\\n",3,4.0\n'
+    spark.createDataFrame([(text.rstrip("\n"),)], "t string").coalesce(1).write.text(path("csv"))
+    (row,) = read_csv(spark, path("csv"), RESULT, one_line=False).collect()
+    assert tuple(row) == (1, 2, "a\nb\\n", 3, 4.0)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(st.sampled_from('\\\n\r"nr, a\t é#')), min_size=1, max_size=20))
+def test_any_text_survives_csv(spark, tmp_path_factory, texts):
+    folder = str(tmp_path_factory.mktemp("csv") / "x")
+    df = result(spark, [(i, None, t, i, 1.0) for i, t in enumerate(texts)])
+    write_csv(df, folder)
+    assert rows(read_csv(spark, folder, RESULT)) == rows(df)
+    parsed = read_lines(spark, folder, RESULT).select(parsed_line("line", RESULT).alias("d"))
+    assert rows(parsed.select("d.*").drop("_corrupt_record")) == rows(df)

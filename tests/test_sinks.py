@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 
 from flightloom.functions import encode
 from flightloom.operators import cast_to, reject_non_numeric
-from flightloom.plans import land_batch, land_csv
-from flightloom.plans.landing import create_landing_tables, refused_rows, stage, staged_rows
-from flightloom.schemas import LANDED, REJECTED, RESULT
+from flightloom.plans import land_batch, land_csv, landing
+from flightloom.plans.landing import (
+    create_landing_tables,
+    refused_rows,
+    replace_part,
+    stage,
+    staged_rows,
+)
+from flightloom.schemas import LANDED, REJECTED, REJECTED_LINE, RESULT
 from flightloom.sources import FileTopics, append_rows, create_table, read_csv, save_table, write_csv
 from flightloom.streaming import drain_typed, land_topic
 from tests.util import plan, rows
@@ -173,10 +179,18 @@ def test_landing_matches_brute_force(spark, path, data):
 def test_csv_landing_refuses_rows_without_all_numbers(spark, path):
     bad = [(None, 1, "p", 1, 1.0), (1, None, "p", 1, 1.0), (1, 1, "p", None, 1.0), (1, 1, "p", 1, NAN)]
     write_csv(result(spark, GOOD + bad), path("csv"))
-    create_table(spark, "ok_csv", LANDED, path("ok_csv"))
-    refused = land_csv(spark, path("csv"), "ok_csv")
-    assert rows(spark.table("ok_csv")) == landed(GOOD)
-    assert rows(refused) == rows(result(spark, bad))
+    create_landing_tables(
+        spark, "ok_csv", "bad_csv", path("tables"), by_batch=True, rejected=REJECTED_LINE
+    )
+    land_csv(spark, path("csv"), "ok_csv", "bad_csv", path("staging"), load="one")
+    assert rows(spark.table("ok_csv").select(*LANDED.names)) == landed(GOOD)
+    reasons = {r.line: r.reject_reason for r in spark.table("bad_csv").collect()}
+    assert reasons == {
+        ",1,p,1,1.0": "no_flight_record_number",
+        "1,,p,1,1.0": "no_ems_system_id",
+        "1,1,p,,1.0": "no_value",
+        "1,1,p,1,NaN": "max_offset_not_a_number",
+    }
 
 
 def test_staging_parses_once_and_skips_by_statistics(spark, path):
@@ -233,20 +247,16 @@ def test_landing_drain_by_drain(spark, path):
 
 def test_repeated_batch_replaces_itself(spark, path):
     """What a drain does again after dying between the write and its commit."""
-    from flightloom.streaming.land import _replace_batch
-
     create_landing_tables(spark, "ok_r", "bad_r", path("tables"), by_batch=True)
     df = result(spark, GOOD).select(*LANDED.names)
-    _replace_batch(df, "ok_r", 0)
-    _replace_batch(df.limit(1), "ok_r", 1)
-    _replace_batch(df, "ok_r", 0)
+    replace_part(df, "ok_r", 0)
+    replace_part(df.limit(1), "ok_r", 1)
+    replace_part(df, "ok_r", 0)
     assert spark.table("ok_r").where("drain_batch = 0").count() == 2
     assert spark.table("ok_r").count() == 3
 
 
 def test_landing_that_dies_midway_is_whole_after_a_retry(spark, path, monkeypatch):
-    from flightloom.streaming import land
-
     topics = FileTopics(spark, path("topics"))
     topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
     topics.publish(payloads(spark, DIRTY), "r")
@@ -257,17 +267,17 @@ def test_landing_that_dies_midway_is_whole_after_a_retry(spark, path, monkeypatc
             create=create, location=path("tables"),
         )
 
-    real = land._replace_batch
+    real = landing.replace_part
 
     def dies_on_rejects(df, table, batch):
         if table == "bad_d":
             raise OSError("lost")
         real(df, table, batch)
 
-    monkeypatch.setattr(land, "_replace_batch", dies_on_rejects)
+    monkeypatch.setattr(landing, "replace_part", dies_on_rejects)
     with pytest.raises(Exception, match="lost"):
         run(True)
-    monkeypatch.setattr(land, "_replace_batch", real)
+    monkeypatch.setattr(landing, "replace_part", real)
     run(False)
     assert rows(spark.table("ok_d").select(*LANDED.names)) == landed(GOOD)
     assert spark.table("bad_d").count() == len(DIRTY)
@@ -302,8 +312,6 @@ def test_two_topics_land_in_the_same_tables(spark, path):
 
 
 def test_a_load_that_dies_is_whole_and_single_after_a_retry(spark, path, monkeypatch):
-    from flightloom.plans import landing
-
     topics = FileTopics(spark, path("topics"))
     topics.publish(encode(result(spark, GOOD), "adi_flight_record_number"), "r")
     topics.publish(payloads(spark, DIRTY), "r")
@@ -343,13 +351,3 @@ def test_drain_takes_files_of_any_age(spark, path):
     for file in set(Path(path("topics")).rglob("*.parquet")) - before:
         os.utime(file, (old, old))
     assert drained().count() == 11
-
-
-def test_csv_landing_stores_refused_rows(spark, path):
-    bad = [(None, 1, "p", 1, 1.0), (1, 1, "p", 1, NAN)]
-    write_csv(result(spark, GOOD + bad), path("csv"))
-    create_table(spark, "ok_c2", LANDED, path("ok_c2"))
-    create_table(spark, "bad_c2", RESULT, path("bad_c2"))
-    land_csv(spark, path("csv"), "ok_c2", "bad_c2")
-    assert rows(spark.table("ok_c2")) == landed(GOOD)
-    assert rows(spark.table("bad_c2")) == rows(result(spark, bad))

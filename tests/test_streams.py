@@ -1,0 +1,281 @@
+"""The maximum kept up to date, its stream, and records drained once."""
+
+from datetime import UTC, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from flightloom import testbed
+from flightloom.functions import encode
+from flightloom.operators import dedupe_keys
+from flightloom.plans import flight_max_offset
+from flightloom.schemas import RESULT, SAMPLES
+from flightloom.sources import FileTopics, MaximumTable
+from flightloom.sources.topics import FileTopics as Files
+from flightloom.streaming import (
+    drain_flight_max,
+    drain_unique,
+    latest_maxima,
+    unique_stream,
+    windowed_maxima,
+)
+from tests.test_sinks import NAN, payloads, result
+from tests.util import plan, rows
+
+FOLDER = "/root/testdata/sf0.001"
+START = datetime(2026, 1, 1, tzinfo=UTC)
+
+
+def at(hours):
+    return START + timedelta(hours=hours)
+
+
+def put(spark, topics, df, hours, topic="s"):
+    """Records with a broker time of our own choice."""
+    records = encode(df, "unique_id").selectExpr("binary(key) as key", "binary(value) as value")
+    stored = records.withColumns(
+        {
+            "offset": F.monotonically_increasing_id(),
+            "timestamp": F.lit(at(hours)),
+            "timestampType": F.lit(0),
+        }
+    )
+    stored.to(Files._STORED).write.parquet(f"{topics.root}/topic={topic}/partition=h{hours}-{topic}")
+
+
+@pytest.fixture
+def topics(spark, path):
+    return FileTopics(spark, path("topics"))
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    return testbed.samples(spark, FOLDER)
+
+
+@pytest.fixture(scope="module")
+def metadata(spark):
+    return testbed.metadata(spark, FOLDER)
+
+
+def files(table):
+    return {str(f) for f in Path(table.root).rglob("version=*/bucket=*/*.parquet")}
+
+
+# --- the table ----------------------------------------------------------------------
+
+
+def test_merges_equal_the_whole(spark, samples, metadata, path):
+    table = MaximumTable(spark, path("m"), buckets=8)
+    assert table.read().count() == 0 and table.read().schema == RESULT
+    for part in range(3):
+        rows_ = samples.where(F.pmod(F.xxhash64("unique_id", "sub_part2"), F.lit(3)) == part)
+        table.merge(flight_max_offset(rows_, metadata))
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+    before = files(table)
+    assert table.merge(flight_max_offset(samples, metadata)) == []
+    assert files(table) == before
+    assert table.forget_old() > 0 and files(table) < before
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+
+
+def test_untouched_buckets_keep_their_files(spark, path):
+    table = MaximumTable(spark, path("m"), buckets=16)
+    table.merge(result(spark, [(k, 1, "p", k, 1.0) for k in range(300)]))
+    before = table.versions()
+    assert len(before) == 16
+    changed = table.merge(result(spark, [(7, 1, "p", 7, 2.0), (8, 1, "p", 8, 0.5)]))
+    after = table.versions()
+    assert len(changed) == 1 and {b for b in after if after[b] != before[b]} == set(changed)
+    found = {tuple(r) for r in table.read().collect()}
+    assert found == {(k, 1, "p", k, 2.0 if k == 7 else 1.0) for k in range(300)}
+
+
+def test_odd_maxima(spark, path):
+    """NULL and NaN maxima, NULL keys, repeated rows in a merge."""
+    table = MaximumTable(spark, path("m"), buckets=2)
+    first = [(None, 1, None, None, None), (1, 1, "a", 1, NAN), (2, 1, "a", 1, None), (3, 1, "a", 1, 5.0)]
+    assert table.merge(result(spark, first * 2))
+    assert table.merge(result(spark, first)) == []
+    assert table.merge(result(spark, [(1, 1, "a", 1, 9.0), (3, 1, "a", 1, None)])) == []
+    assert table.merge(result(spark, [(2, 1, "a", 1, -1.0), (3, 1, "a", 1, NAN), (2, 1, "a", 1, -2.0)]))
+    expected = [first[0], first[1], (2, 1, "a", 1, -1.0), (3, 1, "a", 1, NAN)]
+    assert rows(table.read()) == rows(result(spark, expected))
+    assert table.merge(result(spark, [])) == []
+
+
+@pytest.mark.parametrize("dies_in", ["before the commit", "after the commit"])
+def test_merge_that_dies(spark, path, monkeypatch, dies_in):
+    table = MaximumTable(spark, path("m"), buckets=4)
+    old = [(k, 1, "p", k, 1.0) for k in range(20)]
+    table.merge(result(spark, old))
+    new = [(k, 1, "p", k, 2.0) for k in range(10, 30)]
+    real = MaximumTable._commit
+
+    def dies(self, version, buckets):
+        if dies_in == "after the commit":
+            real(self, version, buckets)
+        raise OSError("lost")
+
+    monkeypatch.setattr(MaximumTable, "_commit", dies)
+    with pytest.raises(OSError):
+        table.merge(result(spark, new))
+    whole = result(spark, old[:10] + new)
+    assert rows(table.read()) == rows(result(spark, old) if dies_in[0] == "b" else whole)
+    monkeypatch.setattr(MaximumTable, "_commit", real)
+    table.merge(result(spark, new))
+    assert rows(table.read()) == rows(whole)
+
+
+# --- the stream ---------------------------------------------------------------------
+
+
+def test_each_drain_equals_the_whole(spark, samples, metadata, topics, path):
+    """Also with records published again, and drains in which nothing is new."""
+    table = MaximumTable(spark, path("m"), buckets=4)
+    sent = samples.limit(0)
+    for part in (0, 1, 1, 2):
+        rows_ = samples.where(F.pmod(F.xxhash64("unique_id", "sub_part2"), F.lit(3)) == part)
+        topics.publish(encode(rows_, "unique_id"), "s")
+        sent = sent.union(rows_)
+        for _ in range(2):
+            done = drain_flight_max(topics.read_stream("s"), metadata, table, path("pos"))
+        assert done.late_rows == 0
+        assert rows(table.read()) == rows(flight_max_offset(sent, metadata))
+
+
+def test_state_is_bounded_by_the_watermark(spark, samples, metadata, topics, path):
+    """Days of samples leave one day in the state, and the result stays whole."""
+    table = MaximumTable(spark, path("m"), buckets=4)
+    held = []
+    for day in range(6):
+        rows_ = samples.where(F.pmod(F.xxhash64("unique_id", "sub_part2"), F.lit(6)) == day)
+        put(spark, topics, rows_, 48 * day)
+        done = drain_flight_max(topics.read_stream("s"), metadata, table, path("pos"))
+        held.append(done.state_groups)
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+    groups = flight_max_offset(samples, metadata).count()
+    assert max(held) < groups / 2 and held[-1] < 2 * held[0] + 100
+
+
+def test_late_samples_are_counted_and_can_be_merged(spark, samples, metadata, topics, path):
+    table = MaximumTable(spark, path("m"), buckets=4)
+    new, late = samples.where("unique_id % 2 = 0"), samples.where("unique_id % 2 = 1")
+    put(spark, topics, new, 100)
+    drain_flight_max(topics.read_stream("s"), metadata, table, path("pos"))
+    put(spark, topics, late, 1)
+    done = drain_flight_max(topics.read_stream("s"), metadata, table, path("pos"))
+    assert done.late_rows > 0
+    assert rows(table.read()) == rows(flight_max_offset(new, metadata))
+    table.merge(flight_max_offset(late, metadata))
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+
+
+def test_drain_that_dies_is_whole_after_a_retry(spark, samples, metadata, topics, path, monkeypatch):
+    table = MaximumTable(spark, path("m"), buckets=4)
+    topics.publish(encode(samples, "unique_id"), "s")
+    real = FileTopics.publish
+
+    def dies(self, *args, **kwargs):
+        real(self, *args, **kwargs)
+        raise OSError("lost")
+
+    def drain():
+        return drain_flight_max(
+            topics.read_stream("s"), metadata, table, path("pos"), publish=(topics, "out")
+        )
+
+    monkeypatch.setattr(FileTopics, "publish", dies)
+    with pytest.raises(Exception, match="lost"):
+        drain()
+    monkeypatch.setattr(FileTopics, "publish", real)
+    drain()
+    expected = flight_max_offset(samples, metadata)
+    assert rows(table.read()) == rows(expected)
+    assert rows(latest_maxima(topics.read("out"))) == rows(expected)
+    assert topics.read("out").count() == expected.count()
+
+
+def test_a_stream_meets_distinct_keys(spark, topics, metadata):
+    stream = windowed_maxima(topics.read_stream("s"), metadata)
+    assert stream.isStreaming
+    assert dedupe_keys(metadata).count() < metadata.count()
+
+
+# --- each record once ---------------------------------------------------------------
+
+
+def test_overlapping_publishes_are_drained_once(spark, samples, topics, path):
+    expected = samples.where("unique_id % 5 < 4")
+    for rest in ("0, 1", "1, 2", "0, 1, 2, 3"):
+        topics.publish(encode(samples.where(f"unique_id % 5 in ({rest})"), "unique_id"), "s")
+        out = drain_unique(topics.read_stream("s"), SAMPLES, path("out"), path("pos"))
+    assert rows(out.drop("timestamp")) == rows(expected)
+
+
+def test_records_that_differ_are_all_drained(spark, topics, path):
+    """NULL and empty keys and payloads are not the same, nor is a moved border."""
+    records = spark.createDataFrame(
+        [("1", "{}"), ("1", "{}"), ("", "{}"), (None, "{}"), ("1{", "}"), ("1,", "{}"), ("1", "{ }")],
+        "key string, value string",
+    )
+    topics.publish(records, "r")
+    topics.publish(records, "q")
+    out = drain_unique(topics.read_stream("r", "q"), RESULT, path("out"), path("pos"))
+    assert out.count() == 12
+
+
+def test_reads_that_overlap_by_position(spark, topics, path):
+    topics.publish(payloads(spark, ["{}"] * 5), "r")
+    both = topics.read_stream("r").unionByName(topics.read_stream("r"))
+    position = ("topic", "partition", "offset")
+    out = drain_unique(both, RESULT, path("out"), path("pos"), identity=position)
+    assert out.count() == 5
+
+
+def test_state_of_unique_records_is_bounded(spark, samples, topics, path):
+    held = []
+    for day in range(5):
+        put(spark, topics, samples.where(f"unique_id % 5 = {day}"), 48 * day)
+        query = (
+            unique_stream(topics.read_stream("s"), within="1 day")
+            .writeStream.format("parquet").option("path", path("out"))
+            .option("checkpointLocation", path("pos")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        held.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    assert spark.read.parquet(path("out")).count() == samples.count()
+    assert max(held) < samples.count() / 2
+
+
+def test_named_publish(spark, topics, path):
+    """One that ended is not done again; one that died is replaced; two topics likewise."""
+    good, other = payloads(spark, ["{}"] * 5), payloads(spark, ["{}"] * 7)
+    topics.publish(good, "a", "b", name="monday")
+    drained = drain_unique(topics.read_stream("a"), RESULT, path("o"), path("p"), identity=("offset",))
+    topics.publish(other, "a", "b", name="monday")
+    assert topics.read("a").count() == topics.read("b").count() == 5
+    again = drain_unique(topics.read_stream("a"), RESULT, path("o"), path("p"), identity=("offset",))
+    assert drained.count() == again.count() == 5
+    folder = Path(topics.root) / "topic=b" / "partition=monday"
+    (folder / "_SUCCESS").unlink()
+    topics.publish(good, "a", "b", name="monday")
+    assert topics.read("b").count() == 5
+    topics.publish(other, "a", name="tuesday")
+    assert topics.read("a").count() == 12
+    with pytest.raises(ValueError):
+        topics.publish(good, "a", name="../x")
+
+
+def test_reading_from_a_time_on(spark, samples, topics, path):
+    for hours in (1, 2, 3):
+        put(spark, topics, samples.limit(hours), hours)
+    assert topics.read("s", since=at(2)).count() == 5
+    assert "GreaterThanOrEqual(timestamp" in plan(topics.read("s", since=at(2)))
+    out = drain_unique(
+        topics.read_stream("s", since=at(3)), SAMPLES, path("out"), path("pos"), identity=("partition", "offset")
+    )
+    assert out.count() == 3
+    with pytest.raises(ValueError, match="startingOffsets"):
+        topics.read_stream("s", startingOffsets="latest")

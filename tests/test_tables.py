@@ -1,0 +1,153 @@
+"""Tables laid out for lookups, joins without a shuffle, and periods from a table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from flightloom import testbed
+from flightloom.functions import payload_drift
+from flightloom.operators import dedupe_keys, enrich_join, equals
+from flightloom.plans import bucketed_flight_max, flight_max_offset, save_flight_buckets
+from flightloom.schemas import WORD
+from flightloom.sources import (
+    save_bucketed,
+    save_lookup_table,
+    save_table,
+    scan,
+    scan_periods_of,
+)
+from tests.util import plan, rows
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def scanned(df, metric):
+    """Sum of a metric over the file scans of a query that is run here."""
+    df.collect()
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        total = 0
+        if node.nodeName().startswith("Scan parquet"):
+            total = node.metrics().apply(metric).value()
+        children = node.children()
+        return total + sum(walk(children.apply(k)) for k in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.fixture
+def small_groups(spark):
+    """Row groups of a few thousand rows, so that small tables have many."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("parquet.page.size.row.check.min", "100")
+    conf.set("parquet.block.size.row.check.min", "100")
+    yield 16 << 10
+    for key in ("parquet.page.size.row.check.min", "parquet.block.size.row.check.min"):
+        conf.unset(key)
+
+
+def test_lookup_reads_one_row_group(spark, path, small_groups):
+    n = 200_000
+    df = spark.range(n).selectExpr("id * 2 as unique_id", "xxhash64(id) as value").repartition(8)
+    save_lookup_table(
+        df, "by_id", "unique_id", path("by_id"), distinct_per_file=30_000, row_group_bytes=small_groups
+    )
+    table = scan(spark, "by_id")
+    assert table.count() == n and table.exceptAll(df).count() == 0
+    import pyarrow.parquet as pq
+
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("//", "")) for f in table.inputFiles()]
+    groups = sum(f.num_row_groups for f in files)
+    assert groups > 20
+    found = scan(spark, "by_id", unique_id=77_778)
+    assert "EqualTo(unique_id,77778)" in plan(found) and found.count() == 1
+    one = equals(table, "unique_id", 77_778).select("value")
+    assert 0 < scanned(one, "numOutputRows") < 2 * n / groups + 1
+    # An id that is not there, within the range of a group: the Bloom filter leaves it out.
+    missing = equals(table, "unique_id", 77_779).select("value")
+    assert scanned(missing, "numOutputRows") == 0
+
+
+def test_lookup_splits_a_hot_id(spark, path):
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, 7, id) as unique_id", "id as value")
+    none = spark.createDataFrame([(None, 1)], "unique_id bigint, value bigint")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # or small ranges are merged
+    spark.conf.set(key, "false")
+    try:
+        save_lookup_table(df.union(none), "hot_id", "unique_id", path("hot_id"))
+    finally:
+        spark.conf.set(key, "true")
+    table = scan(spark, "hot_id", unique_id=7).groupBy(F.input_file_name()).count()
+    spread = [r["count"] for r in table.collect()]
+    assert sum(spread) == 20_001 and len(spread) > 1
+    assert scan(spark, "hot_id").where("unique_id is null").count() == 1
+
+
+def test_bucketed_join_takes_no_shuffle(spark, path):
+    samples, metadata = testbed.samples(spark, FOLDER), testbed.metadata(spark, FOLDER)
+    save_flight_buckets(samples, metadata, "bk", 4, path("bk"), hot_rows=4)
+    assert 0 < spark.table("bk_hot").count() < samples.count()
+    assert spark.table("bk").count() + spark.table("bk_hot").count() == samples.count()
+    expected = rows(flight_max_offset(samples, metadata))
+    assert rows(bucketed_flight_max(spark, "bk")) == expected
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        keys = spark.table("bk_keys")
+        near = plan(enrich_join(spark.table("bk"), keys))
+        assert "SortMergeJoin" in near and "Exchange" not in near
+        assert "Exchange" not in plan(dedupe_keys(keys))
+        far = plan(enrich_join(samples, dedupe_keys(metadata)))
+        assert far.count("Exchange hash") >= 2
+        assert rows(bucketed_flight_max(spark, "bk")) == expected
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_buckets_with_hot_and_missing_keys(spark, path):
+    data = [(1, "a")] * 10 + [(None, "a")] * 7 + [(2, None), (3, "c"), (None, None)]
+    df = spark.createDataFrame(data, "id int, name string")
+    save_bucketed(df, "odd", ["id", "name"], 3, path("odd"), hot_rows=5)
+    assert rows(spark.table("odd")) == rows(df.where("id in (2, 3) or name is null"))
+    assert rows(spark.table("odd_hot")) == rows(df.where("name = 'a'"))
+
+
+def test_periods_of_a_table_prune_directories(spark, path):
+    samples = testbed.samples(spark, FOLDER)
+    save_table(samples, "by_listed_period", path("by_listed_period"), ["sub_part1"])
+    wanted = F.when(F.col("sub_part1") == "1998-08", "yes").otherwise("no").alias("wanted")
+    periods = samples.select(F.col("sub_part1").alias("period"), wanted).distinct()
+    none = spark.createDataFrame([(None, "yes")], "period string, wanted string")
+    save_table(periods.union(none), "listed_periods", path("listed_periods"))
+    wanted = spark.table("listed_periods").where("wanted = 'yes'")
+    found = scan_periods_of(spark, "by_listed_period", wanted)
+    assert "dynamicpruning" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found.select(*samples.columns)) == rows(samples.where("sub_part1 = '1998-08'"))
+    one = scan_periods_of(spark, "by_listed_period", wanted).select("value")
+    # One directory of the table, and the files of the small one.
+    assert scanned(one, "numFiles") <= len(
+        spark.table("by_listed_period").where("sub_part1 = '1998-08'").inputFiles()
+    ) + len(spark.table("listed_periods").inputFiles())
+
+
+def test_drift_of_odd_payloads(spark):
+    texts = [
+        '{"unique_id":1,"word":"a"}', '{"unique_id":"1","word":null}', '{"unique_id":9999999999}',
+        '{"Word":"x","word":"y","deep":{"a":1}}', "{}", "[]", "3", "null", "{", "", None, '{"deep":null}',
+    ]
+    records = spark.createDataFrame([(t,) for t in texts], "value string")
+    found = {r.field: tuple(r)[1:] for r in payload_drift(records, WORD).collect()}
+    assert found == {
+        # declared, present, lacking, null, unreadable
+        "unique_id": (True, 3, 3, 0, 2),
+        "word": (True, 3, 3, 1, 0),
+        "Word": (False, 1, 0, 0, 0),
+        "deep": (False, 2, 0, 1, 0),
+        None: (False, 6, 0, 0, 5),
+    }
+    nothing = {r.field: tuple(r)[2:] for r in payload_drift(records.limit(0), WORD).collect()}
+    assert nothing == dict.fromkeys((None, "unique_id", "word"), (0, 0, 0, 0))
