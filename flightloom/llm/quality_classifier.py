@@ -9,7 +9,8 @@ labelled rows, and one temperature, fitted on rows kept out of training, calibra
 
 Only the text is an input of a score. Edge cases: a NULL text is an empty one, whose vector
 is zero, and gets a score like any other. Rows are scored one by one. Without labels of both
-kinds every score is the share of label 1, or 0.5. Repeated label rows count repeatedly.
+kinds every score is the share of label 1, or 0.5. An id has the label that most of its label
+rows have (1 if as many), and counts once; its different texts count as rows, equal ones once.
 """
 
 from __future__ import annotations
@@ -24,7 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.texts import WordCache, columns_out, hash_sample, id_and_text, sliced
+from flightloom.llm.texts import (
+    SAMPLED,
+    WordCache,
+    columns_out,
+    hash_sample,
+    id_and_text,
+    sliced,
+    text_sample,
+    written,
+)
 
 WORDS, SHAPES, DIM = 4096, 512, 48
 NONZERO = 6
@@ -46,9 +56,9 @@ def shape(word: bytes) -> bytes:
 
 
 # By a word's translated form, of which there are few, and by the word: both rows in a number.
-_FORM_OF = WordCache(lambda kinds: crc32(shape(kinds)) % SHAPES, limit=50_000)
+_FORM_OF = WordCache(lambda kinds: crc32(shape(kinds)) % SHAPES, most=8 << 20)
 _ROWS_OF = WordCache(
-    lambda word: crc32(word) % WORDS * SHAPES + _FORM_OF[word.translate(_KINDS)], limit=150_000
+    lambda word: crc32(word) % WORDS * SHAPES + _FORM_OF[word.translate(_KINDS)]
 )
 
 
@@ -225,12 +235,12 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 1) -> Network:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` labelled texts, chosen by a hash of the id; sorted, so repeatable."""
+    """At most ``most`` different labelled texts, by a hash of the id; see ``text_sample``."""
     known = labels.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")
     ).filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-    # Bounded by ``most`` small rows.
-    return id_and_text(docs).join(F.broadcast(hash_sample(known, most)), "doc_id")
+    once = known.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    return text_sample(docs, hash_sample(written(once, "labels"), most), most)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, Network]:
@@ -242,13 +252,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.
         for batch in sliced(batches, 4 << 20):
             x = features(batch["text"].to_pylist(), table)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["label"], pa.array(list(x), pa.list_(pa.float32()))],
-                ["doc_id", "label", "x"],
+                [*[batch[c] for c in names], pa.array(list(x), pa.list_(pa.float32()))],
+                [*names, "x"],
             )
 
-    sample = labelled_sample(docs, labels, label, MOST_LABELLED).select("doc_id", "label", "text")
-    rows = sample.mapInArrow(vectors, "doc_id bigint, label int, x array<float>").toArrow()
-    order = np.lexsort((rows["label"].to_numpy(), rows["doc_id"].to_numpy()))
+    names = (*SAMPLED, "label")
+    sample = labelled_sample(docs, labels, label, MOST_LABELLED).select(*names, "text")
+    made = sample.mapInArrow(vectors, "doc_id bigint, _hash bigint, label int, x array<float>")
+    # At most MOST_LABELLED vectors, as equal rows meet before they get here.
+    rows = made.dropDuplicates([*SAMPLED]).toArrow()
+    order = np.lexsort((rows["_hash"].to_numpy(), rows["doc_id"].to_numpy()))
     order = np.random.default_rng(3).permutation(order) if len(order) else order
     x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
     return table, train(x[order], rows["label"].to_numpy()[order])

@@ -261,15 +261,24 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id
 from component left join sizes using (doc_id)
 """
 
+_NEXT = ", ".join(f"lead(word, {k}) over following as w{k}" for k in range(1, 8))
 _RULES = rf"""
 with texts as (select doc_id, coalesce(text, '') as t, {_WORDS} as w from documents),
 lined as (
   select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
   from (select doc_id, unnest(string_split(t, chr(10))) as line from texts)
   where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), words as (
+  select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from texts
+), shared as (
+  select doc_id, sum(n) as n_window_distinct from (
+    select doc_id, count(distinct word) as n from words group by doc_id, (i - 1) // 1000
+  ) group by doc_id
 ), windows as (
-  select doc_id, i, array_to_string(w[i:i+7], ' ') as s
-  from (select doc_id, w, unnest(range(1, len(w) - 6)) as i from texts where len(w) >= 8)
+  select doc_id, i, concat_ws(' ', word, w1, w2, w3, w4, w5, w6, w7) as s
+  from (select doc_id, i, word, {_NEXT} from words
+        window following as (partition by doc_id order by i))
+  where w7 is not null
 ), again as (
   select doc_id, i from windows
   join (select doc_id, s from windows group by doc_id, s having count(*) > 1) using (doc_id, s)
@@ -284,8 +293,9 @@ lined as (
          coalesce(n_repeat_words, 0) as n_repeat_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
          length(regexp_replace(t, '[^A-Za-z]', '', 'g')) as n_letters,
-         len(list_distinct(w)) as n_distinct
+         coalesce(n_window_distinct, 0) as n_window_distinct
   from texts left join lined using (doc_id) left join repeats using (doc_id)
+  left join shared using (doc_id)
 ), judged as (
   select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured
 )
@@ -293,7 +303,7 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        not (base_failed or 100 * n_symbols > 20 * n_words or 100 * n_dup_lines > 50 * n_lines
             or 100 * n_upper > 50 * n_letters
             or not (word_chars between 2 * n_words and 20 * n_words)
-            or (n_words >= 50 and 100 * n_distinct < 20 * n_words)) as kept
+            or (n_words >= 50 and 100 * n_window_distinct < 20 * n_words)) as kept
 from judged
 """
 

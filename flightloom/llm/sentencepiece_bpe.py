@@ -58,7 +58,7 @@ class PrefixTable:
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.cache = WordCache(self._part_bytes, limit=300_000)
+        self.cache = WordCache(self._part_bytes, most=48 << 20)
 
     def merged(self, text: str) -> list[str]:
         """Short texts by the definition: the best-ranked neighbours merge, leftmost first."""

@@ -7,6 +7,7 @@ knows only ASCII white space; ``bytes.lower`` likewise changes only A-Z.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -54,16 +55,34 @@ def with_totals(rows: DataFrame, totals: DataFrame, key: str) -> DataFrame:
     return left.join(right, [key, "_again"]).drop("_again")
 
 
-def hash_sample(ids: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows, those with the least hashes of ``doc_id``; repeatable.
+def hash_sample(rows: DataFrame, most: int, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """At most ``most`` rows, those with the least hashes of ``by``; repeatable.
 
     All but about twice as many are filtered out where they are, so that the task that sorts
-    the rest has a bounded number of rows.
+    the rest has a bounded number of rows. ``by`` tells rows apart.
     """
-    share = min(1.0, (2 * most + 100) / max(1, ids.count()))
-    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    few = ids.filter(rank < int(share * (1 << 40)))
-    return few.orderBy(rank, *ids.columns).limit(most)
+    share = min(1.0, (2 * most + 100) / max(1, rows.count()))
+    rank = F.pmod(F.xxhash64(*by), F.lit(1 << 40))
+    few = rows.filter(rank < int(share * (1 << 40)))
+    return few.orderBy(rank, *rows.columns).limit(most)
+
+
+# A row of a sample: an id may have any number of rows, and equal rows count once.
+SAMPLED = ("doc_id", "_hash")
+
+
+def text_sample(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """``doc_id``, ``text``, ``_hash`` and the columns of ``ids`` for rows with these ids.
+
+    At most ``most`` different rows, however many an id has; equal rows are still there more
+    than once, to be dropped by ``SAMPLED`` when they are small. ``ids`` has one row per id and
+    a bounded number of them.
+    """
+    own = id_and_text(docs).withColumn("_hash", F.xxhash64("text"))
+    found = own.join(F.broadcast(ids.select("doc_id")), "doc_id").select(*SAMPLED)
+    keys = written(found.distinct(), "sample-keys")
+    few = hash_sample(keys, most, SAMPLED)
+    return own.join(F.broadcast(few.join(ids, "doc_id")), [*SAMPLED])
 
 
 def columns_out(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
@@ -83,25 +102,34 @@ def sliced(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[
 
 
 class WordCache(dict):
-    """A value per word, found once. Holds ``limit`` words and as many of those before."""
+    """A value per word, found once. Holds ``most`` bytes of words and values, and as many of
+    those before; longer words than ``LONGEST`` are not held, as few of them come again."""
 
-    def __init__(self, value: Callable[[bytes], object], limit: int = 300_000) -> None:
+    LONGEST = 64
+    # What an entry takes beside its word and value.
+    ENTRY = 100
+
+    def __init__(self, value: Callable[[bytes], object], most: int = 24 << 20) -> None:
         super().__init__()
-        self.value, self.limit, self.older = value, limit, {}
+        self.value, self.most, self.size, self.older = value, most, 0, {}
 
     def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
+        if len(word) > self.LONGEST:
+            return self.value(word)
         found = self.older.get(word)
         if found is None:
             found = self.value(word)
+        self.size += getsizeof(word) + getsizeof(found) + self.ENTRY
+        if self.size > self.most:
+            self.older = dict(self)
+            self.clear()
+            self.size = 0
         self[word] = found
         return found
 
 
 # One per Python worker, which serves many tasks.
-_HASHES = WordCache(xxhash.xxh3_64_intdigest, limit=150_000)
+_HASHES = WordCache(xxhash.xxh3_64_intdigest)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

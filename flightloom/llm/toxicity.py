@@ -13,7 +13,8 @@ once. It is fitted on at most ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` document
 
 Only the text is an input of a score. Edge cases: a NULL text is an empty one and has the
 score of a text without any feature. Rows are scored one by one. Without a positive label all
-scores are 0; without unlabelled text, the share of confirmed ones. Repeated labels count once.
+scores are 0; without unlabelled text, the share of confirmed ones. Repeated labels count once;
+the different texts of an id count as rows, equal ones once.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.llm.texts import (
+    SAMPLED,
     WordCache,
     columns_out,
     hash_sample,
     id_and_text,
     sliced,
+    text_sample,
     written,
 )
 
@@ -107,27 +110,29 @@ def nn_pu(
 _FEATURE_ROWS = pa.schema(
     [("positive", pa.int32()), ("features", pa.list_(pa.int64()))]
 )
+_SAMPLE_ROWS = pa.schema([*[(c, pa.int64()) for c in SAMPLED], *_FEATURE_ROWS])
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = WordCache(word_features, limit=50_000)
+    found = WordCache(word_features, most=16 << 20)
     for batch in sliced(batches, 4 << 20):
         rows = [[f for w in distinct_words(t) for f in found[w]] for t in batch["text"].to_pylist()]
-        yield columns_out(_FEATURE_ROWS, {"positive": batch["positive"], "features": rows})
+        same = {c: batch[c] for c in (*SAMPLED, "positive")}
+        yield columns_out(_SAMPLE_ROWS, same | {"features": rows})
 
 
 def sample(docs: DataFrame, confirmed: DataFrame, most: tuple[int, int]) -> DataFrame:
     """Features of confirmed and of unlabelled documents, chosen by a hash of the id."""
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).filter("doc_id is not null")
-    positive = hash_sample(confirmed.select("doc_id").distinct(), most[0])
     # Confirmed ones stay among the unlabelled: the prior is that of all text.
-    unlabelled = hash_sample(ids.distinct(), most[1])
-    chosen = positive.withColumn("positive", F.lit(1)).union(
-        unlabelled.withColumn("positive", F.lit(0))
-    )
-    # Bounded by the two parameters.
-    texts = id_and_text(docs).join(F.broadcast(chosen), "doc_id").select("positive", "text")
-    rows = texts.mapInArrow(_describe, "positive int, features array<bigint>")
+    drawn = []
+    for source, flag, n in ((confirmed, 1, most[0]), (ids, 0, most[1])):
+        chosen = hash_sample(source.select("doc_id").distinct(), n)
+        texts = text_sample(docs, chosen, n).withColumn("positive", F.lit(flag))
+        drawn.append(texts.select(*SAMPLED, "positive", "text"))
+    fields = "doc_id bigint, _hash bigint, positive int, features array<bigint>"
+    rows = drawn[0].union(drawn[1]).mapInArrow(_describe, fields)
+    rows = rows.dropDuplicates([*SAMPLED, "positive"]).select("positive", "features")
     return written(rows, "toxicity-sample")
 
 
@@ -196,7 +201,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        adds = WordCache(shared.value.word, limit=150_000)
+        adds = WordCache(shared.value.word)
         bias = shared.value.bias
         for batch in sliced(batches):
             texts = batch["text"].to_pylist()

@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 from zlib import crc32
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -28,7 +29,16 @@ from flightloom.llm import (
     url_filter,
 )
 from flightloom.llm.components import connected_components
-from flightloom.llm.texts import id_and_text, remainder, window_hashes, word_hashes
+from flightloom.llm.texts import (
+    SAMPLED,
+    WordCache,
+    id_and_text,
+    remainder,
+    text_sample,
+    window_hashes,
+    word_hashes,
+)
+from tests.test_oracle import normal
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -611,3 +621,48 @@ def test_mined_rules_match_brute_force(spark):
     # Nothing that only narrows another rule.
     assert [sorted(r["items"]) for r in rules] == [["host:spam", "key:ref"]]
     assert rules[0].confidence == 1.0
+
+
+def test_rules_sql_is_the_query_on_long_texts(spark, path):
+    """A text whose words repeat more than a book's, and others on both sides of each rule."""
+    rng = random.Random(8)
+    of = [f"word{k}" for k in range(700)]
+    texts = [" ".join(rng.choice(of) for _ in range(n)) for n in (5_000, 30_000, 999, 1_000, 1_001)]
+    texts += [" ".join(rng.choice(of[:k]) for _ in range(3_000)) for k in (50, 150, 200, 210, 220)]
+    docs = documents(spark, [*ODD, *texts])
+    docs.write.parquet(path("t") + "/documents.parquet")
+    ours = queries.op10_quality_rules(spark, path("t")).toPandas()
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path('t')}/documents.parquet/*.parquet'")
+    assert normal(ours) == normal(con.execute(queries.oracle_sql()["op10_quality_rules"]).df())
+    kept = dict(zip(ours["doc_id"], ours["kept"]))
+    assert kept[len(ODD)] and not kept[len(ODD) + 5]
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """An id that bears most rows, equal and different ones, and labels that are repeated."""
+    rng = random.Random(2)
+    texts = [sentence(rng, 8) for _ in range(400)]
+    rows = [(7, t) for t in texts] * 3 + [(8, texts[0])] * 500 + [(k, texts[k]) for k in range(9, 60)]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    ids = spark.createDataFrame([(k,) for k in range(5, 60)], "doc_id bigint")
+    for most in (10, 100, 1000):
+        found = text_sample(docs, ids, most).select(*SAMPLED).distinct().count()
+        assert found == min(most, 400 + 1 + 51)
+    labels = spark.createDataFrame(
+        [(7, 1), (7, 1), (7, 0), (8, 0), (8, 1), (9, 0), (9, 0)] * 50, "doc_id bigint, quality int"
+    )
+    sample = quality_classifier.labelled_sample(docs, labels, "quality", 1000)
+    assert {(r.doc_id, r.label) for r in sample.collect()} == {(7, 1), (8, 1), (9, 0)}
+    drawn = toxicity.sample(docs, labels.select("doc_id").filter("doc_id < 9"), (30, 50))
+    n = {r["positive"]: r["count"] for r in drawn.groupBy("positive").count().collect()}
+    assert n == {1: 30, 0: 50}
+
+
+def test_caches_are_bounded_by_bytes():
+    cache = WordCache(lambda word: word * 2, most=1 << 20)
+    for k in range(40_000):
+        assert cache[b"%030d" % k] == b"%030d" % k * 2
+        cache[b"%0900d" % k]
+    held = sum(len(k) + len(v) for part in (cache, cache.older) for k, v in part.items())
+    assert held < 2 << 20 and max(map(len, cache)) <= WordCache.LONGEST
