@@ -623,6 +623,81 @@ def test_mined_rules_match_brute_force(spark):
     assert rules[0].confidence == 1.0
 
 
+def judged(spark, urls, bad, **options):
+    """Verdicts of all pages; ``bad`` has the label of the first ones."""
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    labels = spark.createDataFrame(list(enumerate(bad)), "page_id bigint, bad boolean")
+    found = url_filter.judge(pages, labels, [], **options)
+    return [r.verdict == "block" for r in sorted(found.collect())]
+
+
+def test_rules_may_have_any_length(spark):
+    """Pages that are bad only if six or nine query keys meet."""
+    rng = random.Random(4)
+    for n in (6, 9):
+        urls, bad = [], []
+        for k in range(260):
+            keys = [f"k{i}" for i in range(n)]
+            if k >= 30:
+                keys.remove(rng.choice(keys))
+            urls.append(f"http://a.org/{k}?" + "&".join(f"{x}=1" for x in keys))
+            bad.append(k < 30)
+        assert judged(spark, urls + urls, bad) == bad + bad
+
+
+@pytest.mark.parametrize("others", [3_000, 12_000])
+def test_a_small_bad_host_is_found_in_any_corpus(spark, others):
+    urls = [f"http://bad.example.com/p/{k}" for k in range(12)]
+    urls += [f"http://h{k % 50}.example.com/p/{k}" for k in range(others)]
+    found = judged(spark, urls, [k < 12 for k in range(len(urls))])
+    assert found == [k < 12 for k in range(len(urls))]
+
+
+def test_many_shared_tokens_are_mined_quickly(spark):
+    """Forty keys that pages of both labels share, and twenty-five that bad ones have alone."""
+    shared, own = (["&".join(f"{x}{k}=1" for k in range(n)) for x, n in (("s", 40), ("b", 25))])
+    urls = [f"http://x.org/{k}?{shared}" + ("" if k % 2 else f"&{own}") for k in range(300)]
+    urls.append("http://other.net/?b7=1")
+    assert judged(spark, urls, [k % 2 == 0 for k in range(300)]) == [k % 2 == 0 for k in range(301)]
+
+
+def test_repeated_labels_and_pages_count_once(spark):
+    urls = [f"http://a.org/x{'y' * k}" for k in range(4)] + ["http://b.com/z"]
+    pages = spark.createDataFrame(
+        [(k, u) for k, u in enumerate(urls)] * 5 + [(None, "http://a.org/x")], "page_id bigint, url string"
+    )
+    labels = [(k, k < 4) for k in range(5)] * 5 + [(None, True)] * 9 + [(4, None), (0, False)]
+    labels = spark.createDataFrame(labels, "page_id bigint, bad boolean")
+    rows = url_filter.judge(pages, labels, []).collect()
+    assert {r.verdict for r in rows} == {"allow"} and len(rows) == 26
+    rows = url_filter.judge(pages, labels, [], least_pages=4).collect()
+    assert sum(r.verdict == "block" for r in rows) == 21
+
+
+def test_rules_equal_all_sure_sets_without_sure_parts(spark):
+    """Against counting every subset of every basket."""
+    rng = random.Random(6)
+    rows = []
+    for _ in range(700):
+        tokens = sorted({rng.choice("abcdefgh") for _ in range(rng.randrange(1, 7))})
+        odds = 0.95 if {"a", "b"} <= set(tokens) else 0.85 if "c" in tokens else 0.1
+        rows.append((tokens, rng.random() < odds))
+    frame = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    counts = defaultdict(lambda: [0, 0])
+    for tokens, bad in rows:
+        for bits in range(1, 1 << len(tokens)):
+            part = tuple(t for k, t in enumerate(tokens) if bits >> k & 1)
+            counts[part][0] += 1
+            counts[part][1] += bad
+    sure = {p: b / n for p, (n, b) in counts.items() if b >= 5 and b / n >= 0.8}
+    expected = {
+        p: c for p, c in sure.items() if not any(set(q) < set(p) and d >= c for q, d in sure.items())
+    }
+    assert any(len(p) > 2 for p in expected)
+    found = {tuple(sorted(r["items"])): r.confidence for r in url_filter.mine_rules(frame).collect()}
+    assert found == expected
+
+
 def test_rules_sql_is_the_query_on_long_texts(spark, path):
     """A text whose words repeat more than a book's, and others on both sides of each rule."""
     rng = random.Random(8)
