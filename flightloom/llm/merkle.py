@@ -174,8 +174,16 @@ def manifest(leaves: DataFrame) -> DataFrame:
     """
     names = leaves.columns
     item = F.struct(*[F.col(c) for c in names])
-    slim = leaves.select(F.col("lang").alias("_lang"), "doc_id", "leaf", item.alias("item"))
-    nodes = ranked(slim, "_lang", ["doc_id", "leaf"]).withColumnRenamed("leaf", "digest")
+    # Equal ids go by their leaves, of which 60 bits tell them apart; rows that are equal in
+    # these too have a number, so that any number of them can be split.
+    order = F.conv(F.substring("leaf", 1, 15), 16, 10).cast("bigint").alias("_order")
+    row = F.monotonically_increasing_id().alias("_row")
+    slim = leaves.select(
+        F.col("lang").alias("_lang"), "doc_id", order, row, F.col("leaf").alias("digest"),
+        item.alias("item"),
+    )
+    # Written, so that texts are read and hashed once, though ranges are found in two passes.
+    nodes = ranked(written(slim, "leaves"), "_lang", ["doc_id", "_order", "_row"])
     largest = nodes.agg(F.max("_n")).first()[0] or 0
     heights = _up(nodes, "_lang", largest)
     roots = heights[-1].select(F.lit(0).alias("_all"), "_lang", "digest")
