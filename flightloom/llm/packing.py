@@ -30,8 +30,8 @@ from flightloom.llm.texts import columns_out, id_and_text, sliced, written
 
 SIZE = 1024
 END = 2
-# Rows of one length are numbered in so many parts, so that a hot length is split.
-PARTS = 64
+# Rows of one length are numbered in parts of about so many, so that a hot length is split.
+PART_ROWS = 1_000_000
 # Fixed values of the tokenizer family that the vocabulary belongs to: the pattern that cuts
 # texts, and the added token, which has its own id wherever a text spells it out.
 SPECIAL = {"<|endoftext|>": 50256}
@@ -167,21 +167,30 @@ def places(bins: list[tuple[tuple[int, ...], int]]) -> dict[int, np.ndarray]:
     return {length: np.array(rows, np.int64) for length, rows in found.items()}
 
 
-def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``. ``pieces`` must be a written table."""
-    part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(PARTS)).cast("int")
-    parts = pieces.withColumn("_part", part)
-    # At most size x PARTS rows, whatever the corpus.
+def pack(pieces: DataFrame, size: int = SIZE, part_rows: int = PART_ROWS) -> DataFrame:
+    """The pieces with ``sequence_id`` and ``offset``. ``pieces`` must be a parquet table.
+
+    Rows go by their place in the table's files, so that equal ones are told apart.
+    """
+    of_length = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    parts_of = [-(-of_length.get(n, 0) // part_rows) or 1 for n in range(size + 1)]
+    place_in = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    named = pieces.select(*pieces.columns, *(c.alias(n) for c, n in zip(place_in, ("_file", "_at"))))
+    many = F.element_at(F.lit(parts_of), (F.col("length") + 1).cast("int"))
+    part = F.pmod(F.xxhash64("_file", "_at"), many).cast("int")
+    parts = named.withColumn("_part", part)
+    # One row per length and million pieces of it.
     counts = parts.groupBy("length", "_part").count().collect()
     counts.sort(key=lambda row: (row["length"], row["_part"]))
-    of_length: dict[int, int] = {}
-    base = np.zeros((size + 1, PARTS), np.int64)
+    # By length, the number of its pieces in the parts before.
+    base = [np.zeros(n, np.int64) for n in parts_of]
+    seen = dict.fromkeys(of_length, 0)
     for row in counts:
-        base[row["length"], row["_part"]] = of_length.get(row["length"], 0)
-        of_length[row["length"]] = of_length.get(row["length"], 0) + row["count"]
+        base[row["length"]][row["_part"]] = seen[row["length"]]
+        seen[row["length"]] += row["count"]
     where = pieces.sparkSession.sparkContext.broadcast((base, places(plan(of_length, size))))
 
-    within = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_part").orderBy("_file", "_at")
     numbered = parts.withColumn("_number", F.row_number().over(within) - 1)
     own, added = pieces.columns, ["sequence_id", "offset"]
 
@@ -189,13 +198,13 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
         base, table = where.value
         for batch in batches:
             length = batch["length"].to_numpy()
-            number = batch["_number"].to_numpy() + base[length, batch["_part"].to_numpy()]
+            number, part = batch["_number"].to_numpy(), batch["_part"].to_numpy()
             sequence, offset = np.empty_like(length), np.empty_like(length)
             for one in np.unique(length):
                 at = np.flatnonzero(length == one)
-                rows = table[int(one)]
-                row = rows[np.searchsorted(rows[:, 0], number[at], "right") - 1]
-                sequence[at] = row[:, 1] + number[at] - row[:, 0]
+                rows, own_number = table[int(one)], number[at] + base[int(one)][part[at]]
+                row = rows[np.searchsorted(rows[:, 0], own_number, "right") - 1]
+                sequence[at] = row[:, 1] + own_number - row[:, 0]
                 offset[at] = row[:, 2]
             arrays = [*batch.select(own).columns, pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(arrays, [*own, *added])
