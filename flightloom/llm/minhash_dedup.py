@@ -379,3 +379,28 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one_each(docs: DataFrame, percent: int, trees: int = TREES) -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies.
+
+    Of linked rows the one with the least id stays, one with a NULL id only if no other has an
+    id. Rows are numbered once, so that an id may be NULL, be repeated or bear several texts.
+    Texts without words are linked with nothing: of those with equal id and text one stays.
+    """
+    row = "_near_row"
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    texts = numbered.select(F.col(row).alias("doc_id"), "text")
+    found = written(near_duplicates(texts, percent, trees), "near-rows")
+    tails = found.filter("not kept").select(F.col("doc_id").alias(row), "component_id")
+    heads = tails.select(F.col("component_id").alias(row), "component_id").distinct()
+    members = tails.unionByName(heads).join(numbered.select(row, "doc_id"), row)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    stays = members.groupBy("component_id").agg(F.min(rank).getField(row).alias(row))
+
+    bare = found.filter("n_shingles = 0").select(F.col("doc_id").alias(row))
+    bare = numbered.select(row, "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(bare, row)
+    first = bare.groupBy("doc_id", "text").agg(F.min(row).alias(row))
+    linked = members.select(row).join(stays.select(row), row, "left_anti")
+    gone = linked.union(bare.select(row).join(first.select(row), row, "left_anti"))
+    return numbered.join(written(gone, "near-gone"), row, "left_anti").select(*docs.columns)

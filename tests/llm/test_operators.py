@@ -698,6 +698,28 @@ def test_rules_equal_all_sure_sets_without_sure_parts(spark):
     assert found == expected
 
 
+def test_a_hot_length_is_packed_in_parts(spark, path):
+    """Many pieces of one length, most of them equal rows: any number of parts packs them whole."""
+    rows = [(1, 0, 0, 10, 5)] * 300 + [(k, 0, 0, 10, k) for k in range(200)]
+    rows += [(k, 1, 0, 1 + k % 30, k) for k in range(100)]
+    fields = ", ".join(f"{c} bigint" for c in ("doc_id", "piece", "start", "length", "ids_crc32"))
+    spark.createDataFrame(rows, fields).repartition(3).write.parquet(path("pieces"))
+    pieces = spark.read.parquet(path("pieces"))
+    for part_rows in (1_000_000, 40):
+        packed = packing.pack(pieces, 32, part_rows).collect()
+        assert sorted(tuple(r)[:5] for r in packed) == sorted(rows)
+        bins = defaultdict(list)
+        for r in packed:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for held in bins.values():
+            ends = 0
+            for offset, length in sorted(held):
+                assert offset == ends
+                ends += length
+            assert ends <= 32
+        assert len(bins) == sum(n for _, n in packing.plan(Counter(r[3] for r in rows), 32))
+
+
 def test_rules_sql_is_the_query_on_long_texts(spark, path):
     """A text whose words repeat more than a book's, and others on both sides of each rule."""
     rng = random.Random(8)
