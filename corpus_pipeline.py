@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flightloom.llm import (
     line_dedup,
@@ -18,7 +17,7 @@ from flightloom.llm import (
     quality_classifier,
     quality_rules,
 )
-from flightloom.llm.texts import remainder, table, with_totals, written
+from flightloom.llm.texts import remainder, table, written
 
 POLICY = "v3"
 # Documents less likely good than this go.
@@ -46,29 +45,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents that with the least id stays, of rows with equal id and text one.
-
-    Rows go by a key of id and text, so that an id may be NULL or stand for several texts; a
-    NULL id comes after all others.
-    """
-    key = "_near_key"
-    keyed = docs.withColumn(key, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    counts = keyed.groupBy(key).agg(F.count("*").alias("rows"))
-    repeated = written(counts.filter("rows > 1").select(key), "repeated-rows")
-    # Copies meet within their tasks first, so a key may have any number of them.
-    one_each = with_totals(keyed, repeated, key).dropDuplicates([key])
-    once = keyed.join(repeated, key, "left_anti").unionByName(one_each)
-
-    texts = once.select(F.col(key).alias("doc_id"), "text")
-    found = minhash_dedup.near_duplicates(texts, percent=NEAR_PERCENT, trees=NEAR_TREES)
-    tails = found.filter("not kept").select(F.col("doc_id").alias(key), "component_id")
-    tails = written(tails, "linked-rows")
-    heads = tails.select(F.col("component_id").alias(key), "component_id").distinct()
-    named = once.select(key, "doc_id").join(tails.unionByName(heads), key)
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", key)
-    first = named.groupBy("component_id").agg(F.min(rank).getField(key).alias(key))
-    gone = named.select(key).join(first, key, "left_anti")
-    return once.join(gone, key, "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays."""
+    return minhash_dedup.keep_one_each(docs, NEAR_PERCENT, NEAR_TREES)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
