@@ -8,8 +8,9 @@ bit is set if they are more than half of all.
 Near ones are looked for by 128 bits, as 64 leave too few between edited copies and unrelated
 texts: the second 64 are voted on by hashes of the hashes. At similarity 0.8 about 19 bits differ.
 To find all fingerprints within a Hamming radius, the bits are cut into blocks, each the key of a
-table. Of two that differ in at most ``radius`` bits, one block differs in at most ``radius //
-blocks``; a query asks for all such neighbours of its blocks, and candidates are compared in full.
+table with a radius of its own. These radii and one more per block but the last add up to the
+whole radius: of two that differ in no more bits, not all blocks can differ in more than theirs.
+A query asks each table for all such neighbours of its block, and candidates are compared in full.
 What is found is linked, and the least id of what hangs together names the class.
 
 Edge cases: a NULL text is an empty one, whose fingerprint is 0. Repeated rows (equal id and
@@ -32,7 +33,7 @@ from flightloom.llm.texts import with_totals, written
 
 TERM = 5
 BITS = 64
-RADIUS, BLOCKS = 23, 8
+RADIUS, BLOCKS = 25, 8
 _SPACES = " \t\n\x0b\x0c\r"
 _PAIR = 0x1_0000_0001
 
@@ -97,6 +98,15 @@ def neighbour_masks(width: int, most: int) -> list[int]:
     return [sum(1 << i for i in c) for c in sets]
 
 
+def block_radii(radius: int, blocks: int) -> list[int]:
+    """How many bits each block may differ in; -1: its table need not be asked.
+
+    If all blocks differed in more, the sum would be over ``radius``.
+    """
+    each, more = divmod(radius - blocks + 1, blocks)
+    return [each + (i < more) for i in range(blocks)]
+
+
 def near(
     queries: DataFrame,
     index: DataFrame,
@@ -113,17 +123,18 @@ def near(
     if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * len(words):
         raise ValueError(f"no search with radius {radius}, {blocks} blocks of {len(words)} longs")
     edges = [round(BITS * i / each) for i in range(each + 1)]
-    most = radius // blocks
+    radii = block_radii(radius, blocks)
 
     def tables(frame: DataFrame, side: str, ask: bool) -> DataFrame:
         rows = []
-        for word in words:
-            for low, high in zip(edges, edges[1:]):
+        cuts = [(word, low, high) for word in words for low, high in zip(edges, edges[1:])]
+        for t, ((word, low, high), most) in enumerate(zip(cuts, radii)):
+            if most >= 0:
                 part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
                 block = F.shiftrightunsigned(word, low).bitwiseAND(part)
                 masks = neighbour_masks(high - low, most) if ask else [0]
                 masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
-                rows.append(F.struct(F.lit(len(rows)).alias("t"), block.alias("b"), masks.alias("m")))
+                rows.append(F.struct(F.lit(t).alias("t"), block.alias("b"), masks.alias("m")))
         kept = dict.fromkeys([*words, name])
         cut = frame.select(*kept).distinct().select(*kept, F.explode(F.array(*rows)).alias("k"))
         wide = cut.select(*kept, "k.t", "k.b", F.explode("k.m").alias("mask"))
