@@ -9,7 +9,9 @@ branch again. What is still crowded at the last level has agreed on all tokens o
 and counts as one candidate group whole. Trees are repeated so that a pair at the threshold is
 missed with a chance of about 1e-4 where all its nodes are crowded, and 1e-9 elsewhere.
 
-Candidates only form groups. Within a group links are confirmed on the full sets, all
+Candidates only form groups. Estimates of 64 tokens are rough, so texts that are only somewhat
+alike may hang together in a chain: the members of a large group are given signatures eight
+times as long and go through trees again, which leaves what is nearly alike. Within a group links are confirmed on the full sets, all
 against all; a large group is cut into blocks, and each pair of blocks is a task's work, so
 no partner is left out and no group must fit one task. Of a block pair's links a spanning
 forest is kept, which has the same components.
@@ -47,10 +49,12 @@ SIGNATURE = 64
 # Pairs whose estimate is so many standard deviations off can't be at the threshold.
 DEVIATIONS = 4.5
 TREES, LEVELS, NODE = 12, 6, 256
+# Groups of more blocks than this are looked at again, with signatures of so many tokens.
+LARGE, LONG_SIGNATURE = 2, 512
 # Blocks of a large group: most members, and most shingles in all.
 BLOCK, BLOCK_SHINGLES = 512, 400_000
 
-_FACTORS = np.random.default_rng(11).integers(0, 1 << 63, SIGNATURE, np.uint64) * np.uint64(
+_FACTORS = np.random.default_rng(11).integers(0, 1 << 63, LONG_SIGNATURE, np.uint64) * np.uint64(
     2
 ) + np.uint64(1)
 
@@ -60,11 +64,11 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(window_hashes(word_hashes(text.lower().split()), SHINGLE))
 
 
-def signature(found: np.ndarray) -> np.ndarray:
+def signature(found: np.ndarray, width: int = SIGNATURE) -> np.ndarray:
     """Per coordinate the least hash of the set's tokens."""
-    least = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(width, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(found), 2048):
-        part = np.multiply.outer(_FACTORS, found[at : at + 2048])
+        part = np.multiply.outer(_FACTORS[:width], found[at : at + 2048])
         np.minimum(least, part.min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
@@ -91,22 +95,23 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def branch(node: np.ndarray, signatures: np.ndarray, percent: int) -> tuple:
     """(row, child) of every branch that the nodes choose for their members."""
-    rows = np.arange(len(node))
+    rows, width = np.arange(len(node)), signatures.shape[1]
     choice = mix(node + np.uint64(0x5851F42D4C957F2D))
-    first = (choice % np.uint64(SIGNATURE)).astype(np.int64)
-    step = ((choice >> np.uint64(16)) % np.uint64(SIGNATURE - 1)).astype(np.int64) + 1
+    first = (choice % np.uint64(width)).astype(np.int64)
+    step = ((choice >> np.uint64(16)) % np.uint64(width - 1)).astype(np.int64) + 1
     # One branch always, a second so often that there are 100 / percent on average.
     again = (choice >> np.uint64(40)) % np.uint64(1000) < np.uint64(100_000 // percent - 1000)
     out = []
-    for member, at in ((rows, first), (rows[again], ((first + step) % SIGNATURE)[again])):
+    for member, at in ((rows, first), (rows[again], ((first + step) % width)[again])):
         token = signatures[member, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
         out.append((member, mix(node[member] ^ mix(token + np.uint64(1)))))
     return np.concatenate([m for m, _ in out]), np.concatenate([c for _, c in out])
 
 
 def _signatures(batch: pa.RecordBatch) -> np.ndarray:
+    """One row per member; all signatures of a table have one length."""
     joined = b"".join(batch["signature"].to_pylist())
-    return np.frombuffer(joined, np.uint32).reshape(-1, SIGNATURE)
+    return np.frombuffer(joined, np.uint32).reshape(batch.num_rows, -1)
 
 
 _NODES = "rep bigint, node bigint"
@@ -193,9 +198,9 @@ def _compare_nodes(candidate: float):
             rep = rows["rep"].to_numpy()
             found = _signatures(rows.combine_chunks().to_batches()[0])
             same = np.zeros((len(rep), len(rep)), np.int32)
-            for at in range(SIGNATURE):
+            for at in range(found.shape[1]):
                 same += found[:, at, None] == found[None, :, at]
-            pairs += [(rep[a], rep[b]) for a, b in forest(same >= candidate * SIGNATURE)]
+            pairs += [(rep[a], rep[b]) for a, b in forest(same >= candidate * found.shape[1])]
             if len(pairs) > 10_000:
                 yield _edges_out(pairs)
                 pairs = []
@@ -205,14 +210,20 @@ def _compare_nodes(candidate: float):
 
 
 def candidate_edges(
-    reps: DataFrame, percent: int, trees: int, levels: int, node_size: int
+    reps: DataFrame,
+    percent: int,
+    trees: int,
+    levels: int,
+    node_size: int,
+    width: int = SIGNATURE,
 ) -> DataFrame:
     """Edges (a, b) whose components hold all pairs that may reach the threshold.
 
-    ``reps`` is a written table (rep, signature), one row per class.
+    ``reps`` is a written table (rep, signature), one row per class; signatures have ``width``
+    tokens.
     """
     share = percent / 100
-    candidate = share - DEVIATIONS * (share * (1 - share) / SIGNATURE) ** 0.5
+    candidate = share - DEVIATIONS * (share * (1 - share) / width) ** 0.5
     rows = reps.select("rep", "signature").mapInArrow(_roots(trees, percent), _NODES)
     edges = None
     for level in range(1, levels + 1):
@@ -299,16 +310,66 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield columns_out(_FULL, {"grp": batch["grp"], "rep": batch["rep"], "shingles": sets})
 
 
+def _group_sizes(groups: DataFrame) -> DataFrame:
+    return groups.groupBy("grp").agg(
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).cast("int").alias("blocks")
+    )
+
+
+def candidate_groups(
+    reps: DataFrame, percent: int, trees: int, levels: int, node_size: int, width: int = SIGNATURE
+) -> DataFrame:
+    """A written table (rep, grp, n_shingles) of the classes that have a candidate."""
+    edges = candidate_edges(
+        reps.select("rep", "signature"), percent, trees, levels, node_size, width
+    )
+    found = connected_components(edges)
+    heads = found.select(F.col("component").alias("id"), "component").distinct()
+    groups = found.union(heads).toDF("rep", "grp")
+    return written(groups.join(reps.select("rep", "n_shingles"), "rep"), "groups")
+
+
+def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches, 4 << 20):
+        made = [signature(shingles(t), LONG_SIGNATURE).tobytes() for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch["rep"], batch["n_shingles"], pa.array(made, pa.binary())],
+            ["rep", "n_shingles", "signature"],
+        )
+
+
+def refined_groups(
+    docs: DataFrame, groups: DataFrame, percent: int, trees: int, levels: int, node_size: int
+) -> DataFrame:
+    """The groups, of which the large ones are taken apart by longer signatures.
+
+    A class without a candidate then is in no group any more.
+    """
+    sizes = written(_group_sizes(groups), "group-sizes")
+    large = sizes.filter(F.col("blocks") > LARGE).select("grp")
+    if not large.take(1):
+        return groups
+    # Hot groups are split as they meet their mark.
+    members = with_totals(groups, large, "grp").groupBy("rep")
+    members = members.agg(F.max("n_shingles").alias("n_shingles"))
+    texts = id_and_text(docs).join(members, F.col("doc_id") == F.col("rep"))
+    signed = texts.select("rep", "n_shingles", "text").mapInArrow(
+        _long_signatures, "rep bigint, n_shingles bigint, signature binary"
+    )
+    signed = written(signed, "long-signatures")
+    again = candidate_groups(signed, percent, trees, levels, node_size, LONG_SIGNATURE)
+    small = groups.join(large, "grp", "left_anti").select(*groups.columns)
+    return written(small.unionByName(again.select(*groups.columns)), "refined-groups")
+
+
 def confirmed_edges(docs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) of links confirmed on full sets, enough to connect what is linked.
 
     ``groups`` has (rep, grp, n_shingles): the candidate group of each class.
     """
-    size = groups.groupBy("grp").agg(
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).cast("int").alias("blocks")
-    )
+    size = _group_sizes(groups)
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     members = with_totals(groups, size, "grp").select("grp", "rep", "blocks", block.alias("block"))
     texts = id_and_text(docs).join(
@@ -355,11 +416,8 @@ def near_duplicates(
         .dropDuplicates(["rep", "k1", "k2"]),
         "classes-signed",
     )
-    signed = reps.select("rep", "signature")
-    groups = connected_components(candidate_edges(signed, percent, trees, levels, node_size))
-    heads = groups.select(F.col("component").alias("id"), "component").distinct()
-    groups = groups.union(heads).toDF("rep", "grp")
-    groups = written(groups.join(reps.select("rep", "n_shingles"), "rep"), "groups")
+    groups = candidate_groups(reps, percent, trees, levels, node_size)
+    groups = refined_groups(docs, groups, percent, trees, levels, node_size)
     links = connected_components(confirmed_edges(docs, groups, percent))
     named = classes.join(links, classes["rep"] == links["id"], "left").select(
         F.col("k1").alias("_k1"),

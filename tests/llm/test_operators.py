@@ -700,6 +700,30 @@ def test_rules_equal_all_sure_sets_without_sure_parts(spark):
     assert found == expected
 
 
+def test_long_chains_of_somewhat_alike_texts_are_taken_apart(spark):
+    """5,000 texts, each 0.80 like the next, that the short signatures hold in large groups."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(12 * 5000 + 106)]
+    texts = [" ".join(words[11 * k : 11 * k + 106]) for k in range(5000)]
+    a, b = shingle_set(texts[0]), shingle_set(texts[1])
+    assert 0.8 < len(a & b) / len(a | b) < 0.81
+    # Some of them also have a real near copy.
+    texts += [texts[k].rsplit(" ", 3)[0] for k in range(0, 5000, 500)]
+    docs = documents(spark, texts)
+    described = id_and_text(docs).mapInArrow(
+        minhash_dedup._describe,
+        "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, signature binary",
+    )
+    reps = described.withColumnRenamed("doc_id", "rep")
+    shape = (85, minhash_dedup.TREES, minhash_dedup.LEVELS, minhash_dedup.NODE)
+    groups = minhash_dedup.candidate_groups(reps, *shape)
+    largest = lambda g: g.groupBy("grp").count().agg(F.max("count")).first()[0]
+    assert largest(groups) > 3 * minhash_dedup.BLOCK
+    assert largest(minhash_dedup.refined_groups(docs, groups, *shape)) < minhash_dedup.BLOCK
+    found = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert found == {k: k if k < 5000 else 500 * (k - 5000) for k in range(5010)}
+
+
 def test_a_hot_length_is_packed_in_parts(spark, path):
     """Many pieces of one length, most of them equal rows: any number of parts packs them whole."""
     rows = [(1, 0, 0, 10, 5)] * 300 + [(k, 0, 0, 10, k) for k in range(200)]
