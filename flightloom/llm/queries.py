@@ -24,7 +24,7 @@ from flightloom.llm import (
     url_filter,
     vector_codes,
 )
-from flightloom.llm.texts import id_and_text, remainder, table
+from flightloom.llm.texts import id_and_text, remainder, table, written
 
 URL_RULES = [
     ("block", "net/"),
@@ -104,9 +104,18 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _predicted(toxicity.score(docs, model), remainder("doc_id", 5) == 0)
 
 
+def _ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rule is evaluated once and stored; policies and ablations read the bits."""
+    return written(quality_rules.ledger(table(spark, folder, "documents")), "rule-ledger")
+
+
+def rules_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    """Per rule: documents that fail it, and that it alone keeps out."""
+    return quality_rules.ablation(_ledger(spark, folder), RULES_POLICY)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    ledger = quality_rules.ledger(table(spark, folder, "documents"))
-    return quality_rules.apply_policy(ledger, RULES_POLICY).select(
+    return quality_rules.apply_policy(_ledger(spark, folder), RULES_POLICY).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -198,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op11_chat_windows,
             op12_merkle_manifest,
             op13_vector_codes,
+            rules_ablation,
         )
     }
 
@@ -262,7 +272,7 @@ from component left join sizes using (doc_id)
 """
 
 _NEXT = ", ".join(f"lead(word, {k}) over following as w{k}" for k in range(1, 8))
-_RULES = rf"""
+_MEASURED = rf"""
 with texts as (select doc_id, coalesce(text, '') as t, {_WORDS} as w from documents),
 lined as (
   select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
@@ -293,19 +303,47 @@ lined as (
          coalesce(n_repeat_words, 0) as n_repeat_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
          length(regexp_replace(t, '[^A-Za-z]', '', 'g')) as n_letters,
-         coalesce(n_window_distinct, 0) as n_window_distinct
+         coalesce(n_window_distinct, 0) as n_window_distinct, len(list_distinct(w)) as n_distinct
   from texts left join lined using (doc_id) left join repeats using (doc_id)
   left join shared using (doc_id)
-), judged as (
-  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured
-)
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not (base_failed or 100 * n_symbols > 20 * n_words or 100 * n_dup_lines > 50 * n_lines
-            or 100 * n_upper > 50 * n_letters
-            or not (word_chars between 2 * n_words and 20 * n_words)
-            or (n_words >= 50 and 100 * n_window_distinct < 20 * n_words)) as kept
-from judged
-"""
+)"""
+# The rules in the order of their bits, as conditions on what is measured.
+_FAILS = {
+    "few_words": "n_words < 20",
+    "repeated_windows": "100 * n_repeat_words > 30 * n_words",
+    "symbols": "100 * n_symbols > 20 * n_words",
+    "duplicate_lines": "100 * n_dup_lines > 50 * n_lines",
+    "upper_case": "100 * n_upper > 50 * n_letters",
+    "word_length": "not (word_chars between 2 * n_words and 20 * n_words)",
+    "few_distinct_words": "n_words >= 50 and 100 * n_distinct < 20 * n_words",
+    "few_distinct_in_windows": "n_words >= 50 and 100 * n_window_distinct < 20 * n_words",
+}
+
+
+def _any_fails(rules: tuple[str, ...]) -> str:
+    return " or ".join(f"({_FAILS[rule]})" for rule in rules)
+
+
+def _rules_sql() -> str:
+    policy = quality_rules.POLICIES[RULES_POLICY]
+    return (
+        f"{_MEASURED} select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,"
+        f" {_any_fails(quality_rules.BASE)} as base_failed, not ({_any_fails(policy)}) as kept"
+        " from measured"
+    )
+
+
+def _ablation_sql() -> str:
+    policy = quality_rules.POLICIES[RULES_POLICY]
+    parts = []
+    for rule in quality_rules.RULES:
+        others = tuple(other for other in policy if other != rule)
+        alone = f"({_FAILS[rule]}) and not ({_any_fails(others)})" if rule in policy else "false"
+        parts.append(
+            f"select '{rule}' as rule, count(*) filter ({_FAILS[rule]}) as n_failed,"
+            f" count(*) filter ({alone}) as n_only from measured"
+        )
+    return _MEASURED + " union all ".join(parts)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -313,7 +351,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_minhash_dedup": _NEAR,
         "op6_line_dedup": _LINES,
-        "op10_quality_rules": _RULES,
+        "op10_quality_rules": _rules_sql(),
+        "rules_ablation": _ablation_sql(),
         "op12_merkle_manifest": oracles.manifest(),
         "op13_vector_codes": oracles.vector_codes(),
     }

@@ -760,6 +760,8 @@ def test_rules_sql_is_the_query_on_long_texts(spark, path):
     assert normal(ours) == normal(con.execute(queries.oracle_sql()["op10_quality_rules"]).df())
     kept = dict(zip(ours["doc_id"], ours["kept"]))
     assert kept[len(ODD)] and not kept[len(ODD) + 5]
+    ablated = queries.rules_ablation(spark, path("t")).toPandas()
+    assert normal(ablated) == normal(con.execute(queries.oracle_sql()["rules_ablation"]).df())
 
 
 def test_samples_are_bounded_by_rows(spark):
