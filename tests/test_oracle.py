@@ -11,7 +11,7 @@ from flightloom.sources import scan_where_in
 FOLDER = "/root/testdata/sf0.01"
 TABLES = ["lineitem", "orders", "customer", "events"]
 # The training-data queries have their own tests.
-OTHERS = {n for n in entry.queries() if n == "pipeline" or n[:2] == "op" and n[2].isdigit()}
+OTHERS = {"pipeline", *(entry.llm_queries.queries() if entry.llm_queries else ())}
 QUERIES = {n: f for n, f in entry.queries().items() if n not in OTHERS}
 ORACLES = {n: q for n, q in entry.oracle_sql().items() if n not in OTHERS}
 
