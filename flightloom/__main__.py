@@ -106,6 +106,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--path", required=True, help="shared folder of the results")
     job.add_argument("--checkpoint", required=True, help="shared folder")
     job.add_argument("--delay", default="1 day", help="how late a record may be")
+    job.add_argument("--result-topic", help="also publish what each batch changes")
 
     job = jobs.add_parser("save", help="save a table or view as a new table")
     job.add_argument("--table", required=True)
@@ -224,7 +225,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
         table = MaximumTable(spark, args.path)
         stream = topics.read_stream(args.topic, since=args.since)
         done = drain_flight_max(
-            stream, scan(spark, args.metadata), table, args.checkpoint, delay=args.delay
+            stream,
+            scan(spark, args.metadata),
+            table,
+            args.checkpoint,
+            delay=args.delay,
+            publish=(topics, args.result_topic) if args.result_topic else None,
         )
         print(done)
         return [table.read()]

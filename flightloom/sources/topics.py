@@ -27,6 +27,9 @@ ROW_GROUP_BYTES = 16 << 20
 
 
 class Topics(Protocol):
+    # Whether a publish may have a name.
+    takes_names: bool
+
     def publish(self, records: DataFrame, *topics: str, name: str | None = None) -> None:
         """Appends the records to every named topic, reading their source once."""
 
@@ -58,6 +61,7 @@ def _named_parts(records: DataFrame) -> DataFrame:
 class KafkaTopics:
     """Topics of a Kafka cluster; needs the Spark Kafka connector on the class path."""
 
+    takes_names = False
     # Client settings a Spark job can pass on, once they carry the "kafka." prefix.
     CLIENT_SETTINGS = ("isolation.level", "enable.idempotence")
     # Settings the Spark connector manages itself, or cannot honour: positions belong to
@@ -153,6 +157,7 @@ class FileTopics:
     drains while a publish dies may have taken some of its files; see ``drain_unique``.
     """
 
+    takes_names = True
     # What a stream of files understands; others would be passed over in silence.
     STREAM_OPTIONS = (
         "maxFilesPerTrigger",

@@ -55,8 +55,8 @@ def drain_flight_max(
     every drain the table holds the maximum over all samples drained so far, whatever windows
     the state has let go of. A batch that died is done again without harm.
 
-    ``publish`` also sends each batch's maxima to a topic, under a name of the batch; the
-    largest per group there is the result, see ``latest_maxima``.
+    ``publish`` also sends each batch's maxima to a topic, in file topics under a name of the
+    batch; the largest per group there is the result, see ``latest_maxima``.
 
     ``late_rows`` counts samples that came more than ``delay`` after newer ones and are not in
     the table: take them in with ``table.merge(flight_max_offset(...))``. Metadata must be there
@@ -70,7 +70,7 @@ def drain_flight_max(
             topics, topic = publish
             query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             records = encode(maxima, "adi_flight_record_number")
-            topics.publish(records, topic, name=f"{query}-{number}")
+            topics.publish(records, topic, name=f"{query}-{number}" if topics.takes_names else None)
 
     query = (
         windowed_maxima(stream, metadata, window, delay)

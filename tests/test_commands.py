@@ -113,8 +113,10 @@ def test_drain_flight_max(spark, tables, path):
         command(spark, path("t"), "--publish-name", name, "round-trip", *topic)
     [shown] = command(
         spark, path("t"), "drain-flight-max", "--topic", "s", "--metadata", "c_metadata",
-        "--path", path("max"), "--checkpoint", path("pos"),
+        "--path", path("max"), "--checkpoint", path("pos"), "--result-topic", "results",
     )
+    [sent] = command(spark, path("t"), "drift", "--topic", "results", "--schema", "result")
+    assert sent.where("field is null").first().n_present >= shown.count()
     assert rows(shown) == rows(flight_max_offset(spark.table("c_samples"), spark.table("c_metadata")))
     [drained] = command(
         spark, path("t"), "drain", "--topic", "s", "--schema", "samples", "--path", path("out"),

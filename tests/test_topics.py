@@ -1,4 +1,5 @@
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +177,27 @@ def test_publish_survives_lost_tasks(spark, topics):
         records = topics.read(name)
         assert rows(decode(records, WORD).drop("timestamp")) == rows(rows_in)
         assert records.select("partition", "offset").distinct().count() == 8000
+
+
+def test_kafka_starts_at_a_time_and_takes_no_names(spark, words):
+    kafka = KafkaTopics(spark, "h:1")
+    with pytest.raises(ValueError, match="names"):
+        kafka.publish(encode(words, "unique_id"), "a", name="monday")
+    assert not kafka.takes_names and FileTopics.takes_names
+    assert kafka.start_options(None) == {}
+    since = datetime(2026, 1, 1, tzinfo=UTC)
+    assert kafka.start_options(since)["startingTimestamp"] == "1767225600000"
+
+
+def test_topic_files_have_small_row_groups(spark, topics):
+    """So that many tasks read what one task wrote."""
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    many = spark.range(0, 600_000, 1, 1).selectExpr(
+        "cast(id as int) as unique_id", "concat(sha2(string(id), 256), sha2(string(-id), 256)) as word"
+    )
+    topics.publish(encode(many, "unique_id"), "a")
+    (file,) = Path(topics.root).rglob("part-*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 2
+    assert topics.read("a").count() == 600_000
