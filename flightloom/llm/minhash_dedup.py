@@ -50,7 +50,7 @@ SIGNATURE = 64
 DEVIATIONS = 4.5
 TREES, LEVELS, NODE = 12, 6, 256
 # Groups of more blocks than this are looked at again, with signatures of so many tokens.
-LARGE, LONG_SIGNATURE = 2, 512
+LARGE, LONG_SIGNATURE = 8, 512
 # Blocks of a large group: most members, and most shingles in all.
 BLOCK, BLOCK_SHINGLES = 512, 400_000
 

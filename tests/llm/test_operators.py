@@ -700,8 +700,9 @@ def test_rules_equal_all_sure_sets_without_sure_parts(spark):
     assert found == expected
 
 
-def test_long_chains_of_somewhat_alike_texts_are_taken_apart(spark):
+def test_long_chains_of_somewhat_alike_texts_are_taken_apart(spark, monkeypatch):
     """5,000 texts, each 0.80 like the next, that the short signatures hold in large groups."""
+    monkeypatch.setattr(minhash_dedup, "LARGE", 2)
     rng = random.Random(3)
     words = [f"w{rng.randrange(10**6)}" for _ in range(12 * 5000 + 106)]
     texts = [" ".join(words[11 * k : 11 * k + 106]) for k in range(5000)]
