@@ -11,7 +11,8 @@ To find all fingerprints within a Hamming radius, the bits are cut into blocks,
 table with a radius of its own. These radii and one more per block but the last add up to the
 whole radius: of two that differ in no more bits, not all blocks can differ in more than theirs.
 A query asks each table for all such neighbours of its block, and candidates are compared in full.
-What is found is linked, and the least id of what hangs together names the class.
+What is found is linked, and the least id of what hangs together names the class. Near copies lie
+close to a pivot, and queries ask for pivots: what is near is counted by distances from these.
 
 Edge cases: a NULL text is an empty one, whose fingerprint is 0. Repeated rows (equal id and
 text) are one document when the next one is looked for, and each is returned. A NULL id comes
@@ -34,6 +35,9 @@ from flightloom.llm.texts import with_totals, written
 TERM = 5
 BITS = 64
 RADIUS, BLOCKS = 25, 8
+# A block with more fingerprints is a crowd, in which clusters are looked for; and so many of a
+# cluster are compared at once.
+CROWD, CHUNK = 32, 256
 _SPACES = " \t\n\x0b\x0c\r"
 _PAIR = 0x1_0000_0001
 
@@ -107,6 +111,36 @@ def block_radii(radius: int, blocks: int) -> list[int]:
     return [each + (i < more) for i in range(blocks)]
 
 
+def _blocks(
+    frame: DataFrame, radius: int, blocks: int, words: Sequence[str], ask: bool
+) -> DataFrame:
+    """The rows once per table, with ``t`` and ``block``; to ``ask``, once per neighbour of it."""
+    each, left = divmod(blocks, len(words))
+    if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * len(words):
+        raise ValueError(f"no search with radius {radius}, {blocks} blocks of {len(words)} longs")
+    edges = [round(BITS * i / each) for i in range(each + 1)]
+    rows = []
+    cuts = [(word, low, high) for word in words for low, high in zip(edges, edges[1:])]
+    for t, ((word, low, high), most) in enumerate(zip(cuts, block_radii(radius, blocks))):
+        if most >= 0:
+            part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
+            block = F.shiftrightunsigned(word, low).bitwiseAND(part)
+            masks = neighbour_masks(high - low, most) if ask else [0]
+            masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
+            rows.append(F.struct(F.lit(t).alias("t"), block.alias("b"), masks.alias("m")))
+    kept = frame.columns
+    cut = frame.select(*kept, F.explode(F.array(*rows)).alias("k"))
+    wide = cut.select(*kept, "k.t", "k.b", F.explode("k.m").alias("mask"))
+    return wide.select(*kept, "t", F.col("b").bitwiseXOR(F.col("mask")).alias("block"))
+
+
+def _apart(a: Sequence[Column | str], b: Sequence[Column | str]) -> Column:
+    """How many bits differ."""
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    each = [F.bit_count(column(x).bitwiseXOR(column(y))) for x, y in zip(a, b)]
+    return reduce(lambda x, y: x + y, each)
+
+
 def near(
     queries: DataFrame,
     index: DataFrame,
@@ -119,40 +153,139 @@ def near(
 
     A fingerprint is the longs ``words``. Distinct ones on both sides, so copies are met once.
     """
-    each, left = divmod(blocks, len(words))
-    if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * len(words):
-        raise ValueError(f"no search with radius {radius}, {blocks} blocks of {len(words)} longs")
-    edges = [round(BITS * i / each) for i in range(each + 1)]
-    radii = block_radii(radius, blocks)
 
     def tables(frame: DataFrame, side: str, ask: bool) -> DataFrame:
-        rows = []
-        cuts = [(word, low, high) for word in words for low, high in zip(edges, edges[1:])]
-        for t, ((word, low, high), most) in enumerate(zip(cuts, radii)):
-            if most >= 0:
-                part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
-                block = F.shiftrightunsigned(word, low).bitwiseAND(part)
-                masks = neighbour_masks(high - low, most) if ask else [0]
-                masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
-                rows.append(F.struct(F.lit(t).alias("t"), block.alias("b"), masks.alias("m")))
         kept = dict.fromkeys([*words, name])
-        cut = frame.select(*kept).distinct().select(*kept, F.explode(F.array(*rows)).alias("k"))
-        wide = cut.select(*kept, "k.t", "k.b", F.explode("k.m").alias("mask"))
-        return wide.select(
-            *[F.col(w).alias(f"{side}_{w}") for w in words],
-            F.col(name).alias(side),
-            "t",
-            F.col("b").bitwiseXOR(F.col("mask")).alias("block"),
-        )
+        cut = _blocks(frame.select(*kept).distinct(), radius, blocks, words, ask)
+        of = [F.col(w).alias(f"{side}_{w}") for w in words]
+        return cut.select(*of, F.col(name).alias(side), "t", "block")
 
-    apart = [F.bit_count(F.col(f"query_{w}").bitwiseXOR(F.col(f"found_{w}"))) for w in words]
-    close = reduce(lambda a, b: a + b, apart) <= radius
+    close = _apart([f"query_{w}" for w in words], [f"found_{w}" for w in words]) <= radius
     # Spark doesn't count that a table has many rows per fingerprint, and would broadcast it.
     asked = tables(queries, "query", True).hint("merge")
     met = asked.join(tables(index, "found", False), ["t", "block"]).filter(close)
     return met.select("query", "found").distinct()
 
 
+# --- near fingerprints, counted and linked ------------------------------------------
+
+
+def clustered(index: DataFrame, radius: int, blocks: int, words: Sequence[str]) -> DataFrame:
+    """``index`` with each fingerprint's ``pivot``, the bits ``p_*`` of that, and how far ``away``.
+
+    ``index`` is a written table: ``node``, ``words``, ``of`` and ``asks`` (is a query), one row
+    per node. A fingerprint may join the pivot of the most crowded block it lies in if that is
+    at most half of ``radius`` away, so that all of a cluster are near each other; else it is its
+    own pivot. The pivot of a block is a query, if one calls that block its own.
+    """
+    keys = _blocks(index.select("node", *words), radius, blocks, words, False)
+    keys = keys.select("node", F.struct("t", "block").alias("at"))
+    counts = keys.groupBy("at").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD)
+    most = F.max(F.struct("n", "at")).getField("at").alias("at")
+    homes = with_totals(keys, counts, "at").groupBy("node").agg(most)
+    lived = written(homes.join(index.select("node", "asks", *words), "node"), "homes")
+    first = lived.groupBy("at").agg(F.min(F.struct(~F.col("asks"), "node", *words)).alias("p"))
+    pivots = first.select(
+        "at", F.col("p.node").alias("pivot"), *[F.col(f"p.{w}").alias(f"p_{w}") for w in words]
+    )
+    p_words = [f"p_{w}" for w in words]
+    placed = with_totals(lived, pivots, "at").withColumn("away", _apart(words, p_words))
+    placed = placed.filter(F.col("away") <= radius // 2).select("node", "pivot", *p_words, "away")
+    return index.join(placed, "node", "left").select(
+        *index.columns,
+        F.coalesce("pivot", "node").alias("pivot"),
+        *[F.coalesce(p, w).alias(p) for p, w in zip(p_words, words)],
+        F.coalesce("away", F.lit(0)).alias("away"),
+    )
+
+
+def near_groups(
+    index: DataFrame,
+    radius: int = RADIUS,
+    blocks: int = BLOCKS,
+    words: Sequence[str] = ("own", "more"),
+) -> tuple[DataFrame, DataFrame]:
+    """Of the queries of ``index`` (see ``clustered``), how many are near, and links.
+
+    The first table has (node, n_near), the sum of ``of`` within ``radius`` of each query. The
+    second has edges (a, b) whose components are those of all (query, found) pairs.
+
+    Queries meet clusters, not fingerprints, so a group of near copies does not become all its
+    pairs. Those so close to the pivot that the two distances add up to ``radius`` at most are
+    near, those whose distances differ by more are not; only what lies between is compared, in
+    arrays of about ``CHUNK`` fingerprints.
+    """
+    p_words, q_words = [f"p_{w}" for w in words], [f"q_{w}" for w in words]
+    members = written(clustered(index, radius, blocks, words), "clustered")
+    steps = range(radius // 2 + 1)
+    at_each = [F.sum(F.when(F.col("away") == d, F.col("of")).otherwise(0)) for d in steps]
+    clusters = members.groupBy("pivot").agg(
+        F.max("away").alias("span"), F.count("*").alias("size"), F.array(*at_each).alias("sizes")
+    )
+    clusters = written(clusters, "clusters")
+
+    spans = with_totals(members, clusters.select("pivot", "span"), "pivot")
+    found = _blocks(spans.select("pivot", *p_words, "span", *words), radius, blocks, words, False)
+    found = found.select("t", "block", "pivot", *p_words, "span").distinct()
+    queries = index.filter("asks").select("node", *words)
+    # Spark doesn't count that a table has many rows per fingerprint, and would broadcast it.
+    asked = _blocks(queries, radius, blocks, words, True).select(
+        F.col("node").alias("query"), *[F.col(w).alias(q) for w, q in zip(words, q_words)],
+        "t", "block",
+    ).hint("merge")
+    met = (
+        asked.join(found, ["t", "block"])
+        .withColumn("far", _apart(q_words, p_words))
+        .filter(F.col("far") <= radius + F.col("span"))
+        .select("query", *q_words, "pivot", "span", "far")
+        .distinct()
+    )
+    met = written(met, "met-clusters")
+
+    inner = with_totals(met.drop("span"), clusters.select("pivot", "sizes"), "pivot")
+    sure = F.slice("sizes", F.lit(1), F.greatest(F.lit(0), radius - F.col("far") + 1))
+    sure = F.aggregate(sure, F.lit(0).cast("bigint"), lambda total, n: total + n)
+    counts = inner.select(F.col("query").alias("node"), sure.alias("n"))
+    # All of a cluster this far from its pivot hang together by the query that is next to it.
+    reach = met.groupBy("pivot").agg((radius - F.min("far")).alias("reach"))
+    reach = written(reach, "reach")
+
+    partly = met.filter(F.col("far") + F.col("span") > radius)
+    asked_for = partly.select("pivot").distinct().join(reach, "pivot").join(
+        clusters.select("pivot", "size"), "pivot"
+    )
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / CHUNK)).alias("part")
+    one = F.struct("node", *words, "of", "away").alias("one")
+    chunks = with_totals(members.filter("away > 0"), asked_for, "pivot").select(
+        "pivot", "reach", part, one
+    )
+    chunks = chunks.groupBy("pivot", "reach", "part").agg(F.collect_list("one").alias("all"))
+
+    def is_close(one: Column) -> Column:
+        apart = _apart([F.col(q) for q in q_words], [one.getField(w) for w in words])
+        return (one.getField("away") + F.col("far") > radius) & (apart <= radius)
+
+    compared = partly.select("query", *q_words, "pivot", "far").join(chunks, "pivot").select(
+        "query", "pivot", "reach", F.filter("all", is_close).alias("close")
+    ).filter(F.size("close") > 0)
+    compared = written(compared, "compared")
+    more = F.aggregate(
+        "close", F.lit(0).cast("bigint"), lambda total, one: total + one.getField("of")
+    )
+    counts = counts.unionByName(compared.select(F.col("query").alias("node"), more.alias("n")))
+    counts = counts.groupBy("node").agg(F.sum("n").alias("n_near"))
+
+    inside = F.exists("close", lambda one: one.getField("away") <= F.col("reach"))
+    outside = F.filter("close", lambda one: one.getField("away") > F.col("reach"))
+    links = (
+        met.filter(F.col("far") <= radius).select("query", "pivot")
+        .union(with_totals(members, reach, "pivot").filter("away <= reach").select("pivot", "node"))
+        .union(compared.filter(inside).select("query", "pivot"))
+        .union(compared.select("query", F.explode(outside).alias("o")).select("query", "o.node"))
+    )
+    return counts, links.toDF("a", "b")
+
+
 # --- each document and the next one -----------------------------------------------
 
 
@@ -253,16 +386,15 @@ def fingerprint_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     # Neither column is NULL here.
     is_query = (F.col("known") == 1) & (F.col("doc") % 50 == 0)
-    found = near(pair.filter(is_query), pair, radius, words=("own", "more"), name="node")
-    found = written(found, "near-pairs")
     nodes = pair.groupBy("node").agg(
-        F.sum("copies").alias("of"), F.min(F.when(F.col("known") == 1, F.col("doc"))).alias("least")
+        F.min(F.struct("own", "more")).alias("bits"),
+        F.sum("copies").alias("of"),
+        F.max(is_query).alias("asks"),
+        F.min(F.when(F.col("known") == 1, F.col("doc"))).alias("least"),
     )
-    nodes = written(nodes, "nodes-of-fingerprints")
-    sizes = nodes.select(F.col("node").alias("found"), "of")
-    sizes = with_totals(found, sizes, "found").groupBy(F.col("query").alias("node"))
-    sizes = sizes.agg(F.sum("of").alias("n_near"))
-    links = connected_components(found.toDF("a", "b"))
+    nodes = written(nodes.select("node", "bits.*", "of", "asks", "least"), "nodes-of-fingerprints")
+    sizes, edges = near_groups(nodes.drop("least"), radius)
+    links = connected_components(edges)
     heads = links.select(F.col("component").alias("id"), "component").distinct()
     members = written(links.unionByName(heads).withColumnRenamed("id", "node"), "near-members")
     first = members.join(nodes, "node").groupBy("component").agg(F.min("least").alias("first"))
