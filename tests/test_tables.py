@@ -151,3 +151,18 @@ def test_drift_of_odd_payloads(spark):
     }
     nothing = {r.field: tuple(r)[2:] for r in payload_drift(records.limit(0), WORD).collect()}
     assert nothing == dict.fromkeys((None, "unique_id", "word"), (0, 0, 0, 0))
+
+
+def test_drift_parses_each_payload_once(spark, path):
+    """One scan, and the text isn't made again for a filter below what makes it."""
+    texts = [("1", '{"word":"a","x":null,"y":1}'), ("2", None), ("3", '{"x":2}'), ("4", "[]")]
+    spark.createDataFrame(texts, "key string, value string").write.parquet(path("records"))
+    made = F.concat(F.col("value"), F.lit(" "))
+    records = spark.read.parquet(path("records")).withColumn("value", made)
+    drift = payload_drift(records, WORD)
+    steps = drift._jdf.queryExecution().optimizedPlan().toString()
+    assert steps.count("Relation [") == 1 and steps.lower().count("concat(value") == 1
+    assert {r.field: tuple(r)[1:] for r in drift.collect()} == {
+        "unique_id": (True, 0, 2, 0, 0), "word": (True, 1, 1, 0, 0),
+        "x": (False, 2, 0, 1, 0), "y": (False, 1, 0, 0, 0), None: (False, 2, 0, 0, 1),
+    }
