@@ -104,6 +104,27 @@ class MaximumTable:
         delete_folder(self.spark, fresh)
         return sorted(changed)
 
+    def _held(self, owner: str) -> str:
+        return f"{self.root}/held/{owner}"
+
+    def hold(self, maxima: DataFrame, owner: str, number: int) -> DataFrame:
+        """Keeps result rows beside the table until ``merge_held``; returns them as written.
+
+        Rows that are held again under their number replace what was there.
+        """
+        path = f"{self._held(owner)}/number={number}"
+        maxima.select(*RESULT.names).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(RESULT).parquet(path)
+
+    def merge_held(self, owner: str) -> list[int]:
+        """Merges all that the owner holds, at once. One that dies is done again without harm."""
+        if not file_exists(self.spark, self._held(owner)):
+            return []
+        rows = self.spark.read.schema(RESULT).parquet(f"{self._held(owner)}/number=*")
+        changed = self.merge(rows)
+        delete_folder(self.spark, self._held(owner))
+        return changed
+
     def _commit(self, version: str, buckets: list[int]) -> None:
         """One file, which is there as a whole or not at all."""
         number = (self._commits().agg(F.max("number")).first()[0] or 0) + 1

@@ -11,6 +11,7 @@ from flightloom.functions import decode, encode
 from flightloom.operators import dedupe_keys, drop_tombstones, enrich_join
 from flightloom.operators.relational import RESULT_KEYS
 from flightloom.schemas import RESULT, SAMPLES
+from flightloom.session import delete_folder, shared_path
 from flightloom.sources.maximum_table import MaximumTable
 from flightloom.sources.topics import Topics
 
@@ -33,8 +34,12 @@ def windowed_maxima(
     maximum per group and window; the watermark lets go of windows ``delay`` behind the newest
     record, so the state is bounded by the groups of that time, not by the stream.
     """
+    return _maxima_of(records, dedupe_keys(metadata), window, delay)
+
+
+def _maxima_of(records: DataFrame, keys: DataFrame, window: str, delay: str) -> DataFrame:
     samples = decode(drop_tombstones(records), SAMPLES).withWatermark("timestamp", delay)
-    joined = enrich_join(samples, dedupe_keys(metadata))
+    joined = enrich_join(samples, keys)
     return joined.groupBy(F.window("timestamp", window), *RESULT_KEYS).agg(
         F.max("offset").alias("MaxOffset")
     )
@@ -51,9 +56,12 @@ def drain_flight_max(
 ) -> Drained:
     """Takes the samples that the stream has not delivered yet into the table, and returns.
 
-    Each batch hands the maxima that it changed to the table, which keeps the largest, so after
-    every drain the table holds the maximum over all samples drained so far, whatever windows
-    the state has let go of. A batch that died is done again without harm.
+    The distinct metadata keys are made once, when the drain begins, for all its batches. Each
+    batch puts the maxima that it changed by, and at the end the table takes them in at once and
+    keeps the largest. So after every drain the table holds the maximum over all samples drained
+    so far, whatever windows the state has let go of; the work of a drain does not grow with its
+    batches times the table. A batch that died is done again without harm, and what a drain that
+    died had put by is taken in by the next one on its checkpoint.
 
     ``publish`` also sends each batch's maxima to a topic, in file topics under a name of the
     batch; the largest per group there is the result, see ``latest_maxima``.
@@ -63,24 +71,32 @@ def drain_flight_max(
     before the samples of its flights are drained.
     """
 
+    spark = stream.sparkSession
+    path = shared_path(spark, "flight-keys")
+    dedupe_keys(metadata).write.option("compression", "zstd").parquet(path)
+    keys = spark.read.parquet(path)
+
     def take_in(batch: DataFrame, number: int) -> None:
-        maxima = batch.select(*RESULT.names)
-        table.merge(maxima)
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        maxima = table.hold(batch, query, number)
         if publish:
             topics, topic = publish
-            query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
             records = encode(maxima, "adi_flight_record_number")
             topics.publish(records, topic, name=f"{query}-{number}" if topics.takes_names else None)
 
     query = (
-        windowed_maxima(stream, metadata, window, delay)
+        _maxima_of(stream, keys, window, delay)
         .writeStream.outputMode("update")
         .foreachBatch(take_in)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        delete_folder(spark, path)
+    table.merge_held(str(query.id))
     done = Drained()
     for progress in query.recentProgress:
         for state in progress["stateOperators"]:

@@ -13,6 +13,7 @@ from flightloom.plans import flight_max_offset
 from flightloom.schemas import RESULT, SAMPLES
 from flightloom.sources import FileTopics, MaximumTable
 from flightloom.sources.topics import FileTopics as Files
+from flightloom.streaming import flight_max
 from flightloom.streaming import (
     drain_flight_max,
     drain_unique,
@@ -197,6 +198,38 @@ def test_drain_that_dies_is_whole_after_a_retry(spark, samples, metadata, topics
     assert topics.read("out").count() == expected.count()
 
 
+def test_a_drain_of_many_batches_merges_once(spark, samples, metadata, topics, path, monkeypatch):
+    """And makes the keys of the metadata once; what a drain that died put by is not lost."""
+    table, merges = MaximumTable(spark, path("m"), buckets=4), []
+    real = MaximumTable.merge
+    monkeypatch.setattr(MaximumTable, "merge", lambda *a: merges.append(1) or real(*a))
+    made = []
+    keys = flight_max.dedupe_keys
+    monkeypatch.setattr(flight_max, "dedupe_keys", lambda m: made.append(1) or keys(m))
+    for part in range(3):
+        rows_ = samples.where(F.pmod(F.xxhash64("unique_id", "sub_part2"), F.lit(3)) == part)
+        topics.publish(encode(rows_, "unique_id").coalesce(1), "s")
+
+    def drain():
+        stream = topics.read_stream("s", maxFilesPerTrigger="1")
+        return drain_flight_max(stream, metadata, table, path("pos"))
+
+    def dies(self, *args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(MaximumTable, "merge_held", dies)
+        with pytest.raises(OSError, match="lost"):
+            drain()
+    assert (len(merges), len(made)) == (0, 1) and not table.versions()
+    drain()
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+    topics.publish(encode(samples, "unique_id").repartition(3), "s")
+    assert drain().batches > 1
+    assert (len(merges), len(made)) == (2, 3)
+    assert rows(table.read()) == rows(flight_max_offset(samples, metadata))
+
+
 def test_a_stream_meets_distinct_keys(spark, topics, metadata):
     stream = windowed_maxima(topics.read_stream("s"), metadata)
     assert stream.isStreaming
