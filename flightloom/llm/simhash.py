@@ -35,9 +35,11 @@ from flightloom.llm.texts import with_totals, written
 TERM = 5
 BITS = 64
 RADIUS, BLOCKS = 25, 8
-# A block with more fingerprints is a crowd, in which clusters are looked for; and so many of a
-# cluster are compared at once.
-CROWD, CHUNK = 32, 256
+# A block with more fingerprints is a crowd, in which clusters are looked for; so many of a
+# cluster are compared at once; smaller clusters are taken for single fingerprints.
+CROWD, CHUNK, CLUSTER = 32, 256, 64
+# Fingerprints of a block that a query meets at once: the bits of a positive long tell which are near.
+ROW = 63
 _SPACES = " \t\n\x0b\x0c\r"
 _PAIR = 0x1_0000_0001
 
@@ -111,23 +113,32 @@ def block_radii(radius: int, blocks: int) -> list[int]:
     return [each + (i < more) for i in range(blocks)]
 
 
+def _cuts(radius: int, blocks: int, words: int) -> list[tuple[int, int, int, int, int]]:
+    """(table, number of the word, first bit, end, radius) of each block whose table is asked."""
+    each, left = divmod(blocks, words)
+    if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * words:
+        raise ValueError(f"no search with radius {radius}, {blocks} blocks of {words} longs")
+    edges = [round(BITS * i / each) for i in range(each + 1)]
+    cuts = [(word, low, high) for word in range(words) for low, high in zip(edges, edges[1:])]
+    radii = block_radii(radius, blocks)
+    return [(t, *cut, most) for t, (cut, most) in enumerate(zip(cuts, radii)) if most >= 0]
+
+
+def _block(word: Column | str, low: int, high: int) -> Column:
+    part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
+    return F.shiftrightunsigned(word, low).bitwiseAND(part)
+
+
 def _blocks(
     frame: DataFrame, radius: int, blocks: int, words: Sequence[str], ask: bool
 ) -> DataFrame:
     """The rows once per table, with ``t`` and ``block``; to ``ask``, once per neighbour of it."""
-    each, left = divmod(blocks, len(words))
-    if radius < 0 or each < 1 or left or each > BITS or radius >= BITS * len(words):
-        raise ValueError(f"no search with radius {radius}, {blocks} blocks of {len(words)} longs")
-    edges = [round(BITS * i / each) for i in range(each + 1)]
     rows = []
-    cuts = [(word, low, high) for word in words for low, high in zip(edges, edges[1:])]
-    for t, ((word, low, high), most) in enumerate(zip(cuts, block_radii(radius, blocks))):
-        if most >= 0:
-            part = F.lit((1 << (high - low)) - 1 if high - low < BITS else -1).cast("bigint")
-            block = F.shiftrightunsigned(word, low).bitwiseAND(part)
-            masks = neighbour_masks(high - low, most) if ask else [0]
-            masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
-            rows.append(F.struct(F.lit(t).alias("t"), block.alias("b"), masks.alias("m")))
+    for t, word, low, high, most in _cuts(radius, blocks, len(words)):
+        masks = neighbour_masks(high - low, most) if ask else [0]
+        masks = F.array(*[F.lit(m).cast("bigint") for m in masks])
+        block = _block(words[word], low, high)
+        rows.append(F.struct(F.lit(t).alias("t"), block.alias("b"), masks.alias("m")))
     kept = frame.columns
     cut = frame.select(*kept, F.explode(F.array(*rows)).alias("k"))
     wide = cut.select(*kept, "k.t", "k.b", F.explode("k.m").alias("mask"))
@@ -199,6 +210,49 @@ def clustered(index: DataFrame, radius: int, blocks: int, words: Sequence[str])
     )
 
 
+def _rows(found: DataFrame) -> DataFrame:
+    """``found`` by ``t`` and ``block``: arrays ``all`` of at most ``ROW``, with a number, ``row``."""
+    sizes = found.groupBy("t", "block").agg(F.count("*").alias("n"))
+    large = written(sizes.filter(F.col("n") > CHUNK), "large-blocks")
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("n", F.lit(1)) / CHUNK)).alias("part")
+    one = F.struct(*[c for c in found.columns if c not in ("t", "block")]).alias("one")
+    parts = found.join(large, ["t", "block"], "left").select("t", "block", part, one)
+    parts = parts.groupBy("t", "block", "part").agg(F.collect_list("one").alias("all"))
+    at = F.explode(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / ROW).cast("int"))).alias("at")
+    return parts.select("t", "block", "part", "all", at).select(
+        "t", "block", F.struct("part", "at").alias("row"),
+        F.slice("all", F.col("at") * ROW + 1, F.lit(ROW)).alias("all"),
+    )
+
+
+def _row_links(near_by: DataFrame, rows: DataFrame) -> DataFrame:
+    """Edges that connect what the queries' masks of ``near_by`` say is near them.
+
+    Masks of a row that have a bit in common hang together by its fingerprint: they are joined, and
+    what is left is a star per mask. Each query is linked to the first of its mask.
+    """
+    near_by = near_by.filter("mask <> 0")
+    key = ["t", "block", "row"]
+    masks = near_by.groupBy(*key).agg(F.collect_set("mask").alias("masks"))
+    either = lambda x, y: x.bitwiseOR(y)
+    apart = F.aggregate(
+        "masks",
+        F.array().cast("array<bigint>"),
+        lambda done, m: F.concat(
+            F.filter(done, lambda x: x.bitwiseAND(m) == 0),
+            F.array(F.aggregate(F.filter(done, lambda x: x.bitwiseAND(m) != 0), m, either)),
+        ),
+    )
+    named = rows.select(*key, F.transform("all", lambda one: one.getField("node")).alias("nodes"))
+    bit = lambda mask, i: F.call_function("shiftrightunsigned", mask, i).bitwiseAND(1)
+    stars = masks.select(*key, F.explode(apart).alias("mask")).filter(F.bit_count("mask") > 1)
+    stars = stars.join(named, key).select(
+        F.filter("nodes", lambda _, i: bit(F.col("mask"), i) == 1).alias("nodes")
+    )
+    stars = stars.select(F.get("nodes", F.lit(0)).alias("a"), F.explode("nodes").alias("b"))
+    return near_by.select("query", "first").union(stars.filter("a <> b"))
+
+
 def near_groups(
     index: DataFrame,
     radius: int = RADIUS,
@@ -213,39 +267,78 @@ def near_groups(
     Queries meet clusters, not fingerprints, so a group of near copies does not become all its
     pairs. Those so close to the pivot that the two distances add up to ``radius`` at most are
     near, those whose distances differ by more are not; only what lies between is compared, in
-    arrays of about ``CHUNK`` fingerprints.
+    arrays of about ``CHUNK`` fingerprints. Fingerprints that are in no cluster are met in arrays,
+    too, the ``ROW`` of a block at once, so a group too wide for clusters isn't all its pairs either.
     """
     p_words, q_words = [f"p_{w}" for w in words], [f"q_{w}" for w in words]
-    members = written(clustered(index, radius, blocks, words), "clustered")
+    placed = written(clustered(index, radius, blocks, words), "clustered")
     steps = range(radius // 2 + 1)
     at_each = [F.sum(F.when(F.col("away") == d, F.col("of")).otherwise(0)) for d in steps]
-    clusters = members.groupBy("pivot").agg(
+    clusters = placed.groupBy("pivot").agg(
         F.max("away").alias("span"), F.count("*").alias("size"), F.array(*at_each).alias("sizes")
     )
-    clusters = written(clusters, "clusters")
-
-    spans = with_totals(members, clusters.select("pivot", "span"), "pivot")
-    found = _blocks(spans.select("pivot", *p_words, "span", *words), radius, blocks, words, False)
-    found = found.select("t", "block", "pivot", *p_words, "span").distinct()
+    clusters = written(clusters.filter(F.col("size") >= CLUSTER), "clusters")
+    members = with_totals(placed, clusters.select("pivot", "span"), "pivot")
+    alone = placed.join(clusters.select("pivot"), "pivot", "left_anti")
+
+    found = _blocks(members.select("pivot", *p_words, "span", *words), radius, blocks, words, False)
+    # What stands for a cluster counts for none by itself; its sizes are added below.
+    found = found.select(
+        "t", "block", F.col("pivot").alias("node"),
+        *[F.col(p).alias(w) for p, w in zip(p_words, words)],
+        F.lit(0).cast("bigint").alias("of"), "span",
+    ).distinct()
+    single = _blocks(alone.select("node", *words, "of"), radius, blocks, words, False).select(
+        "t", "block", "node", *words, "of", F.lit(0).alias("span")
+    )
+    rows = written(_rows(single.unionByName(found)), "rows-of-blocks")
     queries = index.filter("asks").select("node", *words)
     # Spark doesn't count that a table has many rows per fingerprint, and would broadcast it.
     asked = _blocks(queries, radius, blocks, words, True).select(
         F.col("node").alias("query"), *[F.col(w).alias(q) for w, q in zip(words, q_words)],
         "t", "block",
     ).hint("merge")
-    met = (
-        asked.join(found, ["t", "block"])
-        .withColumn("far", _apart(q_words, p_words))
-        .filter(F.col("far") <= radius + F.col("span"))
-        .select("query", *q_words, "pivot", "span", "far")
-        .distinct()
+
+    def far(one: Column) -> Column:
+        return _apart([F.col(q) for q in q_words], [one.getField(w) for w in words])
+
+    def is_met(one: Column) -> Column:
+        """Within reach, and, if not a cluster, in no table before this one."""
+        early = [
+            (F.col("t") > t)
+            & (F.bit_count(_block(F.col(q_words[word]).bitwiseXOR(one.getField(words[word])), low, high)) <= most)
+            for t, word, low, high, most in _cuts(radius, blocks, len(words))
+        ]
+        first = (one.getField("of") == 0) | ~reduce(lambda x, y: x | y, early)
+        return (far(one) <= radius + one.getField("span")) & first
+
+    single = lambda one: (one.getField("of") > 0) & is_met(one)
+    bit = lambda one, i: F.when(
+        single(one), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
+    ).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    ones = F.filter("all", single)
+    near_by = asked.join(rows, ["t", "block"]).filter(F.exists("all", is_met)).select(
+        "query", *q_words, "t", "block", "row",
+        F.aggregate(F.transform("all", bit), zero, lambda x, y: x.bitwiseOR(y)).alias("mask"),
+        F.get(ones, F.lit(0)).getField("node").alias("first"),
+        F.aggregate(ones, zero, lambda n, x: n + x.getField("of")).alias("n"),
+        F.transform(
+            F.filter("all", lambda one: (one.getField("of") == 0) & is_met(one)),
+            lambda one: F.struct(one.getField("node").alias("pivot"), one.getField("span").alias("span"), far(one).alias("far")),
+        ).alias("clusters"),
     )
+    near_by = written(near_by, "met-rows")
+    met = near_by.filter(F.size("clusters") > 0).select(
+        "query", *q_words, F.explode("clusters").alias("c")
+    ).select("query", *q_words, "c.*").distinct()
     met = written(met, "met-clusters")
 
     inner = with_totals(met.drop("span"), clusters.select("pivot", "sizes"), "pivot")
     sure = F.slice("sizes", F.lit(1), F.greatest(F.lit(0), radius - F.col("far") + 1))
     sure = F.aggregate(sure, F.lit(0).cast("bigint"), lambda total, n: total + n)
     counts = inner.select(F.col("query").alias("node"), sure.alias("n"))
+    counts = counts.unionByName(near_by.select(F.col("query").alias("node"), "n"))
     # All of a cluster this far from its pivot hang together by the query that is next to it.
     reach = met.groupBy("pivot").agg((radius - F.min("far")).alias("reach"))
     reach = written(reach, "reach")
@@ -282,6 +375,7 @@ def near_groups(
         .union(with_totals(members, reach, "pivot").filter("away <= reach").select("pivot", "node"))
         .union(compared.filter(inside).select("query", "pivot"))
         .union(compared.select("query", F.explode(outside).alias("o")).select("query", "o.node"))
+        .union(_row_links(near_by, rows))
     )
     return counts, links.toDF("a", "b")
 
