@@ -44,5 +44,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if total == seen or not total[0]:
             break
         seen = total
-        state = written(_small_star(_large_star(state)), "edges")
+        state = written(_small_star(_large_star(state)), "edges", total[0])
     return state.select(F.col("a").alias("id"), F.col("b").alias("component"))

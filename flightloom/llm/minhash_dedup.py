@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from flightloom.llm.components import connected_components
 from flightloom.llm.texts import (
+    BLANKS,
     columns_out,
     id_and_text,
     mix,
@@ -225,11 +226,13 @@ def candidate_edges(
     share = percent / 100
     candidate = share - DEVIATIONS * (share * (1 - share) / width) ** 0.5
     rows = reps.select("rep", "signature").mapInArrow(_roots(trees, percent), _NODES)
-    edges = None
+    edges, total = None, reps.count()
+    # Each level reads all signatures, of which tasks take no more than files have.
+    most = total * trees
     for level in range(1, levels + 1):
-        rows = written(rows, "nodes")
+        rows = written(rows, "nodes", max(total, most))
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        shared = written(with_totals(rows, sizes, "node"), "shared")
+        shared = written(with_totals(rows, sizes, "node"), "shared", max(total, most))
         small = shared.filter(F.col("size") <= node_size).join(reps, "rep")
         found = (
             small.select("node", "rep", "signature")
@@ -243,8 +246,10 @@ def candidate_edges(
             heads = crowded.groupBy("node").agg(F.min("rep").alias("a"))
             last = with_totals(crowded, heads, "node")
             edges = edges.union(last.select("a", F.col("rep").alias("b")))
-        elif not crowded.take(1):
-            break
+        else:
+            most = crowded.count()
+            if not most:
+                break
         rows = crowded.join(reps, "rep").select("rep", "node", "signature")
         rows = rows.mapInArrow(_descend(percent), _NODES)
     return edges
@@ -328,7 +333,8 @@ def candidate_groups(
     found = connected_components(edges)
     heads = found.select(F.col("component").alias("id"), "component").distinct()
     groups = found.union(heads).toDF("rep", "grp")
-    return written(groups.join(reps.select("rep", "n_shingles"), "rep"), "groups")
+    # As each row of reps is in one group at most.
+    return written(groups.join(reps.select("rep", "n_shingles"), "rep"), "groups", reps.count())
 
 
 def _long_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +353,7 @@ def refined_groups(
 
     A class without a candidate then is in no group any more.
     """
-    sizes = written(_group_sizes(groups), "group-sizes")
+    sizes = written(_group_sizes(groups), "group-sizes", groups.count())
     large = sizes.filter(F.col("blocks") > LARGE).select("grp")
     if not large.take(1):
         return groups
@@ -407,14 +413,16 @@ def near_duplicates(
         ),
         "sets",
     )
+    n = sets.count()
     real = sets.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = written(real.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes", n)
     reps = written(
         real.join(classes, [real["k1"] == classes["k1"], real["k2"] == classes["k2"],
                             real["doc_id"] == classes["rep"]])
         .select(classes["rep"], real["k1"], real["k2"], "n_shingles", "signature")
         .dropDuplicates(["rep", "k1", "k2"]),
         "classes-signed",
+        n,
     )
     groups = candidate_groups(reps, percent, trees, levels, node_size)
     groups = refined_groups(docs, groups, percent, trees, levels, node_size)
@@ -449,15 +457,16 @@ def keep_one_each(docs: DataFrame, percent: int, trees: int = TREES) -> DataFram
     row = "_near_row"
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
     texts = numbered.select(F.col(row).alias("doc_id"), "text")
-    found = written(near_duplicates(texts, percent, trees), "near-rows")
+    found = written(near_duplicates(texts, percent, trees), "near-rows", numbered.count())
     tails = found.filter("not kept").select(F.col("doc_id").alias(row), "component_id")
     heads = tails.select(F.col("component_id").alias(row), "component_id").distinct()
     members = tails.unionByName(heads).join(numbered.select(row, "doc_id"), row)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", row)
     stays = members.groupBy("component_id").agg(F.min(rank).getField(row).alias(row))
 
-    bare = found.filter("n_shingles = 0").select(F.col("doc_id").alias(row))
-    bare = numbered.select(row, "doc_id", F.coalesce("text", F.lit("")).alias("text")).join(bare, row)
+    # Those without words are told by the text itself: a join would shuffle all texts for them.
+    bare = numbered.select(row, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    bare = written(bare.filter(F.btrim("text", F.lit(BLANKS)) == ""), "rows-without-words")
     first = bare.groupBy("doc_id", "text").agg(F.min(row).alias(row))
     linked = members.select(row).join(stays.select(row), row, "left_anti")
     gone = linked.union(bare.select(row).join(first.select(row), row, "left_anti"))

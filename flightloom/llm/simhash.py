@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightloom.llm.components import connected_components
-from flightloom.llm.texts import with_totals, written
+from flightloom.llm.texts import BLANKS, with_totals, written
 
 TERM = 5
 BITS = 64
@@ -38,15 +38,14 @@ RADIUS, BLOCKS = 25, 8
 # A block with more fingerprints is a crowd, in which clusters are looked for; so many of a
 # cluster are compared at once; smaller clusters are taken for single fingerprints.
 CROWD, CHUNK, CLUSTER = 32, 256, 64
-# Fingerprints of a block that a query meets at once: the bits of a positive long tell which are near.
+# Fingerprints of a block that a query meets at once: bits of a positive long tell which are near.
 ROW = 63
-_SPACES = " \t\n\x0b\x0c\r"
 _PAIR = 0x1_0000_0001
 
 
 def words_of(text: Column) -> Column:
     """The lower-case words; NULL if there are none."""
-    bare = F.btrim(text, F.lit(_SPACES))
+    bare = F.btrim(text, F.lit(BLANKS))
     return F.when(bare != "", F.split(F.lower(bare), "[\\x20\\x09-\\x0D]+"))
 
 
@@ -211,7 +210,7 @@ def clustered(index: DataFrame, radius: int, blocks: int, words: Sequence[str])
 
 
 def _rows(found: DataFrame) -> DataFrame:
-    """``found`` by ``t`` and ``block``: arrays ``all`` of at most ``ROW``, with a number, ``row``."""
+    """``found`` by ``t`` and ``block``: arrays ``all`` of ``ROW`` at most, numbered by ``row``."""
     sizes = found.groupBy("t", "block").agg(F.count("*").alias("n"))
     large = written(sizes.filter(F.col("n") > CHUNK), "large-blocks")
     part = F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("n", F.lit(1)) / CHUNK)).alias("part")
@@ -268,7 +267,7 @@ def near_groups(
     pairs. Those so close to the pivot that the two distances add up to ``radius`` at most are
     near, those whose distances differ by more are not; only what lies between is compared, in
     arrays of about ``CHUNK`` fingerprints. Fingerprints that are in no cluster are met in arrays,
-    too, the ``ROW`` of a block at once, so a group too wide for clusters isn't all its pairs either.
+    too, ``ROW`` of a block at once, so a group too wide for clusters isn't all its pairs either.
     """
     p_words, q_words = [f"p_{w}" for w in words], [f"q_{w}" for w in words]
     placed = written(clustered(index, radius, blocks, words), "clustered")
@@ -304,9 +303,9 @@ def near_groups(
 
     def is_met(one: Column) -> Column:
         """Within reach, and, if not a cluster, in no table before this one."""
+        differ = [F.col(q).bitwiseXOR(one.getField(w)) for q, w in zip(q_words, words)]
         early = [
-            (F.col("t") > t)
-            & (F.bit_count(_block(F.col(q_words[word]).bitwiseXOR(one.getField(words[word])), low, high)) <= most)
+            (F.col("t") > t) & (F.bit_count(_block(differ[word], low, high)) <= most)
             for t, word, low, high, most in _cuts(radius, blocks, len(words))
         ]
         first = (one.getField("of") == 0) | ~reduce(lambda x, y: x | y, early)
@@ -325,13 +324,15 @@ def near_groups(
         F.aggregate(ones, zero, lambda n, x: n + x.getField("of")).alias("n"),
         F.transform(
             F.filter("all", lambda one: (one.getField("of") == 0) & is_met(one)),
-            lambda one: F.struct(one.getField("node").alias("pivot"), one.getField("span").alias("span"), far(one).alias("far")),
+            lambda one: F.struct(
+                one.getField("node").alias("pivot"), one.getField("span"), far(one).alias("far")
+            ),
         ).alias("clusters"),
     )
     near_by = written(near_by, "met-rows")
     met = near_by.filter(F.size("clusters") > 0).select(
         "query", *q_words, F.explode("clusters").alias("c")
-    ).select("query", *q_words, "c.*").distinct()
+    ).select("query", *q_words, "c.*").toDF("query", *q_words, "pivot", "span", "far").distinct()
     met = written(met, "met-clusters")
 
     inner = with_totals(met.drop("span"), clusters.select("pivot", "sizes"), "pivot")
