@@ -1,6 +1,7 @@
 """The maximum kept up to date, its stream, and records drained once."""
 
 from datetime import UTC, datetime, timedelta
+from importlib import import_module
 from pathlib import Path
 
 import pytest
@@ -16,6 +17,7 @@ from flightloom.sources.topics import FileTopics as Files
 from flightloom.streaming import flight_max
 from flightloom.streaming import (
     drain_flight_max,
+    drain_typed,
     drain_unique,
     latest_maxima,
     unique_stream,
@@ -25,6 +27,8 @@ from tests.test_sinks import NAN, payloads, result
 from tests.util import plan, rows
 
 FOLDER = "/root/testdata/sf0.001"
+# The package has a function of this name.
+drain_module = import_module("flightloom.streaming.drain")
 START = datetime(2026, 1, 1, tzinfo=UTC)
 
 
@@ -282,6 +286,77 @@ def test_state_of_unique_records_is_bounded(spark, samples, topics, path):
     assert max(held) < samples.count() / 2
 
 
+def test_digests_of_unique_records_lie_in_files(spark, samples, topics, path):
+    """Not in a state store, which would hold them in memory; also with many batches."""
+    for part in ("< 2", "> 0", "< 3"):
+        rows_ = encode(samples.where(f"unique_id % 3 {part}"), "unique_id").repartition(2)
+        topics.publish(rows_, "s")
+        stream = topics.read_stream("s", maxFilesPerTrigger="1")
+        out = drain_unique(stream, SAMPLES, path("out"), path("pos"))
+        assert not list(Path(path("pos")).rglob("state"))
+    assert rows(out.drop("timestamp")) == rows(samples)
+
+
+def test_a_drain_of_nothing(spark, samples, topics, path):
+    for sent in (0, 3, 3):
+        if sent and not topics.read("s").count():
+            topics.publish(encode(samples.limit(sent), "unique_id"), "s")
+        out = drain_unique(topics.read_stream("s"), SAMPLES, path("out"), path("pos"))
+        assert out.count() == sent
+
+
+def test_a_checkpoint_with_a_state_store_goes_on(spark, samples, topics, path):
+    topics.publish(encode(samples.where("unique_id % 3 < 2"), "unique_id"), "s")
+    drain_typed(unique_stream(topics.read_stream("s")), SAMPLES, path("out"), path("pos"))
+    topics.publish(encode(samples, "unique_id"), "s")
+    out = drain_unique(topics.read_stream("s"), SAMPLES, path("out"), path("pos"))
+    assert rows(out.drop("timestamp")) == rows(samples)
+
+
+@pytest.mark.parametrize("dies_in", ["take_in", "drain_typed"])
+def test_unique_drain_that_dies_is_whole_after_a_retry(
+    spark, samples, topics, path, monkeypatch, dies_in
+):
+    where = drain_module._UniqueRecords if dies_in == "take_in" else drain_module
+    real = getattr(where, dies_in)
+
+    def dies(*args):
+        if dies_in == "take_in":
+            real(*args)
+        raise OSError("lost")
+
+    def drain():
+        return drain_unique(topics.read_stream("s"), SAMPLES, path("out"), path("pos"))
+
+    for part in ("< 2", "> 0"):
+        topics.publish(encode(samples.where(f"unique_id % 3 {part}"), "unique_id"), "s")
+        with monkeypatch.context() as broken:
+            broken.setattr(where, dies_in, dies)
+            with pytest.raises(Exception, match="lost"):
+                drain()
+        out = drain()
+    assert rows(out.drop("timestamp")) == rows(samples)
+
+
+@pytest.mark.parametrize("at_once", [False, True])
+def test_unique_drain_and_stream_let_go_of_the_same(spark, samples, topics, path, at_once):
+    """Copies, copies that come later, and late records; drain by drain and batch by batch."""
+    sent = [(0, "0, 1"), (20, "0, 2"), (50, "0, 3"), (60, "0, 4"), (30, "5"), (37, "6"), (200, "0, 7"), (210, "0, 8")]
+    for n, (hours, parts) in enumerate(sent):
+        put(spark, topics, samples.where(f"unique_id % 9 in ({parts})").coalesce(1), hours)
+        if at_once and n < len(sent) - 1:
+            continue
+        stream = topics.read_stream("s", maxFilesPerTrigger="1")
+        out = drain_unique(stream, SAMPLES, path("out"), path("pos"), within="1 day")
+        old = drain_typed(unique_stream(stream, "1 day"), SAMPLES, path("out2"), path("pos2"))
+        assert rows(out) == rows(old)
+    if not at_once:
+        kept = out.selectExpr("unique_id % 9", "unix_seconds(timestamp)").distinct().collect()
+        expected = [(0, 0), (1, 0), (2, 20), (3, 50), (0, 60), (4, 60), (6, 37), (7, 200), (0, 210), (8, 210)]
+        assert {tuple(r) for r in kept} == {(part, int(at(h).timestamp())) for part, h in expected}
+        assert len(list(Path(path("pos"), "unique").glob("batch=*"))) < len(sent)
+
+
 def test_named_publish(spark, topics, path):
     """One that ended is not done again; one that died is replaced; two topics likewise."""
     good, other = payloads(spark, ["{}"] * 5), payloads(spark, ["{}"] * 7)
